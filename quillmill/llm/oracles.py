@@ -2,4 +2,122 @@
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+from quillmill.llm import secrets
+
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+_CHAT = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-1, 0, 'user', '<|im_end|><|im_start|>assistant ok'),
+                   (-1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok')
+), steps AS (
+  SELECT *, lag(role, 1, '') OVER w AS before, row_number() OVER w AS nth
+  FROM turns WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text)
+)
+SELECT conv_id,
+       count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY nth)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY nth) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(24 + length(role) + length(regexp_replace(text, '<(&*)\|', '<&\1|', 'g'))) AS BIGINT) AS formatted_chars,
+       bool_and((before, role) IN (('', 'system'), ('', 'user'), ('system', 'user'), ('user', 'assistant'), ('assistant', 'user'))) AS valid
+FROM steps GROUP BY conv_id
+"""
+
+_EXACT = r"""
+WITH d AS (
+  SELECT doc_id, length(coalesce(text, '')) AS chars,
+         sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS text_sha256
+  FROM documents
+), k AS (
+  SELECT *, first_value(doc_id) OVER (PARTITION BY text_sha256 ORDER BY chars DESC, doc_id) AS keep_id,
+         count(*) OVER (PARTITION BY text_sha256) AS group_size
+  FROM d
+)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM k
+"""
+
+_DECON = rf"""
+WITH dw AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+  FROM documents
+), iw AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+  FROM benchmark
+), sized AS (SELECT item_id, ws, least(10, len(ws)) AS width FROM iw WHERE len(ws) > 0),
+item_windows AS (
+  SELECT DISTINCT item_id, width, array_to_string(list_slice(ws, s, s + width - 1), ' ') AS phrase
+  FROM (SELECT *, unnest(generate_series(1, len(ws) - width + 1)) AS s FROM sized)
+), doc_windows AS (
+  SELECT doc_id, width, s, array_to_string(list_slice(ws, s, s + width - 1), ' ') AS phrase
+  FROM (SELECT doc_id, ws, width, unnest(generate_series(1, len(ws) - width + 1)) AS s
+        FROM dw, (SELECT DISTINCT width FROM sized) WHERE len(ws) >= width)
+), found AS (SELECT doc_id, item_id, s, width FROM doc_windows JOIN item_windows USING (width, phrase)),
+hits AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit
+  FROM (SELECT doc_id, unnest(generate_series(s, s + width - 1)) AS p FROM found) GROUP BY doc_id
+), named AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM dw LEFT JOIN hits USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
+
+
+def _secrets_sql() -> str:
+    """One branch a kind: matches and the texts between them add up to positions."""
+
+    def quoted(pattern: str) -> str:
+        return "'" + pattern.replace("'", "''") + "'"
+
+    def branch(kind: str, rank: int, pattern: str, group: int, least: int) -> str:
+        return rf"""
+  SELECT doc_id, {rank} AS rank, '{kind}' AS kind, start, start + length(m) AS stop, m
+  FROM (
+    SELECT doc_id, ms[i] AS m, ks[i] AS k,
+           list_sum([length(x) for x in gaps[1:i]]) + coalesce(list_sum([length(x) for x in ms[1:i - 1]]), 0) AS start
+    FROM (
+      SELECT *, unnest(generate_series(1, len(ms))) AS i FROM (
+        SELECT doc_id, regexp_extract_all(t, {quoted(pattern)}) AS ms,
+               regexp_extract_all(t, {quoted(pattern)}, {group}) AS ks,
+               string_split_regex(t, {quoted(pattern)}) AS gaps
+        FROM d WHERE regexp_matches(t, {quoted(pattern)})
+      )
+    )
+  ) WHERE length(k) >= {least}"""
+
+    base = " UNION ALL ".join(branch(k, i, p, g, n) for i, (k, p, g, n) in enumerate(secrets.BASE_PATTERNS))
+    more = []
+    for i, c in enumerate(secrets.CLASSES, len(secrets.BASE_PATTERNS)):
+        must = "".join(f" AND regexp_matches(m, '{p}')" for p in c.must)
+        allow = "".join(f" AND NOT regexp_matches(m, {quoted(p)})" for p in secrets.ALLOW)
+        best = f"list_max([list_entropy(string_split(m[j:j + {c.window - 1}], '')) for j in generate_series(1, length(m) - {c.window - 1})])"
+        more.append(
+            f"SELECT * FROM ({branch(c.name, i, c.pattern, 0, c.least)}) c WHERE {best} >= {c.bits}{must}{allow} AND NOT EXISTS "
+            "(SELECT 1 FROM base b WHERE b.doc_id = c.doc_id AND b.start < c.stop AND c.start < b.stop)"
+        )
+    return rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+base AS ({base}),
+every AS (SELECT * FROM base UNION ALL {' UNION ALL '.join(more)}),
+b AS (
+  SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+         count(*) FILTER (kind = 'hex') AS n_hex, string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, rank) AS txt
+  FROM base GROUP BY doc_id
+),
+e AS (SELECT doc_id, string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, rank) AS spans FROM every GROUP BY doc_id)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(txt, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN b USING (doc_id) LEFT JOIN e USING (doc_id)
+"""
+
+
+ORACLES: dict[str, str] = {
+    "op1_chat_format": _CHAT,
+    "op5_decontaminate": _DECON,
+    "op6_secrets": _secrets_sql(),
+    "op7_exact_dedup": _EXACT,
+}
