@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillmill.llm import chat_format, decontaminate, exact_dedup, secrets, sharding
+from quillmill.session import cut_lineage, delete_path, new_shared_path
+from quillmill.llm import byte_bpe, chat_format, decontaminate, exact_dedup, secrets, sharding, token_files
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -67,6 +69,30 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
 
 
+def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    ids = _table(spark, sf_dir, "documents").select("doc_id", byte_bpe.encode_column(F.col("text"), path).alias("ids"))
+    return ids.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2(byte_bpe.decode_column(F.col("ids"), path), 256).alias("decoded_sha256"),
+    )
+
+
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_shared_path(spark, "tokens")
+    files = token_files.write_token_files(
+        _table(spark, sf_dir, "documents"), folder, public_tokenizers.path("word_bpe_49k.json"), vocabulary_size=49408, end_id=1
+    )
+    back = token_files.read_token_files(files).select(
+        "doc_id", "start", F.size("ids").cast("long").alias("n_tokens"), token_files.ids_crc32(F.col("ids")).alias("ids_crc32")
+    )
+    back = cut_lineage(back)
+    delete_path(spark, folder)
+    return back
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.shard_by_bytes(_table(spark, sf_dir, "documents"), n_shards=40)
     return placed.select(
@@ -80,5 +106,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_decontaminate": op5_decontaminate,
     "op6_secrets": op6_secrets,
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_byte_bpe": op8_byte_bpe,
+    "op9_token_files": op9_token_files,
     "op10_sharding": op10_sharding,
 }
