@@ -38,6 +38,29 @@ WITH d AS (
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM k
 """
 
+_NEAR = r"""
+WITH RECURSIVE ws AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), sets AS (
+  SELECT DISTINCT doc_id, array_to_string(list_slice(w, s, s + 4), ' ') AS shingle
+  FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(len(w) - 4, 1))) AS s FROM ws WHERE len(w) > 0)
+), sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+pairs AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared
+  FROM sets a JOIN sets b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY 1, 2
+), links AS (
+  SELECT a, b FROM pairs JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * shared >= 75 * (x.n + y.n - shared)
+), edges AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach AS (
+  SELECT doc_id AS node, doc_id AS other FROM documents
+  UNION
+  SELECT reach.node, edges.b FROM reach JOIN edges ON edges.a = reach.other
+), least_of AS (SELECT node, min(other) AS component_id FROM reach GROUP BY node)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM documents JOIN least_of ON node = doc_id LEFT JOIN sizes USING (doc_id)
+"""
+
 _DECON = rf"""
 WITH dw AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
@@ -117,6 +140,7 @@ FROM d LEFT JOIN b USING (doc_id) LEFT JOIN e USING (doc_id)
 
 ORACLES: dict[str, str] = {
     "op1_chat_format": _CHAT,
+    "op3_near_dedup": _NEAR,
     "op5_decontaminate": _DECON,
     "op6_secrets": _secrets_sql(),
     "op7_exact_dedup": _EXACT,

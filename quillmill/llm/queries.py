@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillmill.session import cut_lineage, delete_path, new_shared_path
-from quillmill.llm import byte_bpe, chat_format, decontaminate, exact_dedup, secrets, sharding, token_files
+from quillmill.llm import byte_bpe, chat_format, decontaminate, exact_dedup, near_dedup, secrets, sharding, token_files
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,6 +38,10 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_groups(_table(spark, sf_dir, "documents"))
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find_contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -103,6 +107,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
+    "op3_near_dedup": op3_near_dedup,
     "op5_decontaminate": op5_decontaminate,
     "op6_secrets": op6_secrets,
     "op7_exact_dedup": op7_exact_dedup,
