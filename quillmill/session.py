@@ -25,6 +25,7 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, **extra
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("QUILLMILL_DRIVER_MEMORY", "8g"))
     )
     for key, value in extra.items():
