@@ -10,7 +10,7 @@ are made anew, until as many entries in a row as the longest token has bytes agr
 with the old ones.
 
 Texts are cut by the vocabulary's pattern first, each piece is encoded by itself and
-kept in a bounded cache. Whole texts are encoded, batch by batch, without a shuffle.
+kept in a bounded cache of spans. Whole texts are encoded, batch by batch, without a shuffle.
 
 Defined cases: a null text is empty and has no ids; repeated rows give repeated
 results; a text may be of any length; an empty table gives an empty table; other
@@ -28,17 +28,18 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from quillmill.llm.ragged import chunks_by_size, gather, offsets_of
+from quillmill.llm.spans import SpanCache
 
 #: Unicode White_Space, which `\s` stands for in the pattern.
 WHITE_SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-#: Pieces and pairs a Python worker keeps before it begins anew.
-CACHED_PIECES = 400_000
-CACHED_PAIRS = 1_000_000
-#: Code points of text handled at once.
+#: Pairs of tokens a Python worker keeps before it begins anew.
+CACHED_PAIRS = 400_000
+#: Bytes of text handled at once.
 CHUNK = 1_000_000
 
 
@@ -54,7 +55,7 @@ class Vocabulary:
         self.ranks = ranks
         self.tokens = {rank: token for token, rank in ranks.items()}
         self.longest = max(map(len, ranks))
-        self._pairs: dict[tuple[int, int], bool] = {}
+        self._pairs: dict[int, bool] = {}
         self._halves: dict[bytes, tuple[bytes, bytes] | None] = {}
         n = max(self.tokens) + 1
         self._lengths = np.zeros(n, np.int64)
@@ -98,12 +99,13 @@ class Vocabulary:
     def valid(self, a: int, b: int) -> bool:
         """True if no merge ever crosses from a to b: a crossing merge would have to come
         before the merges that end the two tokens it joins (at equal ranks, the left one first)."""
-        known = self._pairs.get((a, b))
+        key = a << 32 | b
+        known = self._pairs.get(key)
         if known is None:
             if len(self._pairs) >= CACHED_PAIRS:
                 self._pairs.clear()
             right = self._edge(self.tokens[b], 0)
-            known = self._pairs[a, b] = not any(
+            known = self._pairs[key] = not any(
                 (rank := self.ranks.get(x + y)) is not None and rank < x_ends and rank <= y_ends
                 for x, x_ends in self._edge(self.tokens[a], 1)
                 for y, y_ends in right
@@ -202,43 +204,37 @@ def pieces_of(text: str) -> list[str]:
     return piece_pattern(top).findall(text)
 
 
+#: White space beyond ASCII. A run of white space that holds such a character must not be cut.
+_OTHER_SPACE = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+
+
 class Encoder:
-    """Encodes texts piece by piece, with a bounded cache of pieces."""
+    """Encodes texts.
+
+    No piece goes on from other characters into white space, and what follows does not
+    look back, so a text may be cut before each run of white space.
+    """
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
-        self._reset()
-
-    def _reset(self) -> None:
-        self._slot: dict[str, int] = {}
-        self._flat: list[int] = []
-        self._counts: list[int] = []
+        self._spans = SpanCache(lambda spans: map(self._ids, spans), keep_space=True)
 
-    def _add(self, piece: str) -> None:
-        data = piece.encode()
-        whole = self.vocabulary.ranks.get(data)
-        ids = [whole] if whole is not None else PrefixTable(self.vocabulary, data).tokens()
-        self._slot[piece] = len(self._counts)
-        self._flat.extend(ids)
-        self._counts.append(len(ids))
+    def _ids(self, text: str) -> list[int]:
+        ids: list[int] = []
+        for piece in pieces_of(text):
+            data = piece.encode()
+            whole = self.vocabulary.ranks.get(data)
+            ids += [whole] if whole is not None else PrefixTable(self.vocabulary, data).tokens()
+        return ids
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """ids of all texts and their offsets."""
-        pieces: list[str] = []
-        ends = [0]
-        for text in texts:
-            pieces += pieces_of(text)
-            ends.append(len(pieces))
-        if len(self._slot) > CACHED_PIECES:
-            self._reset()
-        slot = self._slot
-        for piece in set(pieces).difference(slot):
-            self._add(piece)
-        slots = np.fromiter(map(slot.__getitem__, pieces), np.int64, len(pieces))
-        counts = np.array(self._counts, np.int64)
-        starts = offsets_of(counts)[:-1]
-        lengths = counts[slots]
-        return gather(np.array(self._flat, np.int32), starts[slots], lengths), offsets_of(lengths)[ends]
+        whole = {i: self._ids(t) for i, t in enumerate(texts) if not t.isascii() and _OTHER_SPACE.search(t)}
+        flat, offsets = self._spans.encode([b"" if i in whole else t.encode() for i, t in enumerate(texts)])
+        if whole:
+            parts = [np.array(whole[i], np.int32) if i in whole else flat[offsets[i] : offsets[i + 1]] for i in range(len(texts))]
+            flat, offsets = np.concatenate(parts), offsets_of(np.array([len(p) for p in parts]))
+        return flat, offsets
 
 
 @lru_cache(maxsize=2)
@@ -253,15 +249,10 @@ def encode_column(text: Column, path: str) -> Column:
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = _encoder(path)
         for texts in batches:
-            texts = [t or "" for t in texts.to_pylist()]
-            out, ends, base = [], [np.zeros(1, np.int64)], 0
-            for i, j in chunks_by_size([len(t) for t in texts], CHUNK):
-                ids, offsets = encoder.encode(texts[i:j])
-                out.append(ids)
-                ends.append(offsets[1:] + base)
-                base += len(ids)
-            flat = np.concatenate(out) if out else np.zeros(0, np.int32)
-            yield pa.ListArray.from_arrays(pa.array(np.concatenate(ends), pa.int32()), pa.array(flat, pa.int32()))
+            # a chunk at a time: what is held follows the chunk, not the batch
+            for i, j in chunks_by_size(pa.compute.binary_length(texts).fill_null(0).to_pylist(), CHUNK):
+                ids, offsets = encoder.encode([t or "" for t in texts[i:j].to_pylist()])
+                yield pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids, pa.int32()))
 
     # not deterministic: else the plan may encode once for each use of the column
     return encode.asNondeterministic()(text)
@@ -273,11 +264,13 @@ def decode_column(ids: Column, path: str) -> Column:
     @F.arrow_udf("binary")
     def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         vocabulary = _encoder(path).vocabulary
-        for rows in batches:
-            offsets = rows.offsets.to_numpy().astype(np.int64)
-            flat = rows.values.to_numpy(zero_copy_only=False)[offsets[0] : offsets[-1]]
-            data, ends = vocabulary.decode(flat, offsets - offsets[0])
-            made = pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(data)])
-            yield pa.compute.if_else(rows.is_valid(), made, pa.scalar(None, pa.binary())) if rows.null_count else made
+        for batch in batches:
+            for i, j in chunks_by_size(pa.compute.list_value_length(batch).fill_null(0).to_pylist(), CHUNK // 4):
+                rows = batch[i:j]
+                offsets = rows.offsets.to_numpy().astype(np.int64)
+                flat = rows.values.to_numpy(zero_copy_only=False)[offsets[0] : offsets[-1]]
+                data, ends = vocabulary.decode(flat, offsets - offsets[0])
+                made = pa.Array.from_buffers(pa.binary(), j - i, [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(data)])
+                yield pa.compute.if_else(rows.is_valid(), made, pa.scalar(None, pa.binary())) if rows.null_count else made
 
     return decode(ids)

@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from quillmill.llm.components import connected_components
 from quillmill.llm.ragged import chunks_by_size, offsets_of
+from quillmill.llm.spans import IS_SPACE, hash_spans, mix
 from quillmill.session import cut_lineage, maybe_broadcast
 
 SHINGLE = 5
@@ -44,52 +45,22 @@ CANDIDATE = 0.55
 CLUSTER_SHINGLES, CLUSTER_CLASSES = 4_000_000, 6_000
 CHUNK = 1_000_000  # bytes of text handled at once
 
-_ROOT = np.uint64(0x9E3779B97F4A7C15 | 1)
 _rng = np.random.default_rng(20240229)
 _XOR = _rng.integers(0, 2**32, SLOTS, dtype=np.uint32)
 _MUL = _rng.integers(0, 2**32, SLOTS, dtype=np.uint32) | np.uint32(1)
 _SALT = _rng.integers(0, 2**63, 16, dtype=np.uint64)
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[65:91] += 32
-_IS_SPACE = np.zeros(256, bool)
-_IS_SPACE[[9, 10, 11, 12, 13, 32]] = True
-
-
-def mix(x: np.ndarray) -> np.ndarray:
-    """A bijection of 64-bit numbers that spreads all bits."""
-    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    return x ^ (x >> np.uint64(32))
-
-
-class _Powers:
-    """Powers of the root and of its inverse mod 2 ** 64, as many as were needed so far."""
-
-    up = down = np.ones(1, np.uint64)
-
-    @classmethod
-    def get(cls, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if len(cls.up) < n:
-            size = max(n, 1 << 21)
-            inverse = np.uint64(pow(int(_ROOT), -1, 2**64))
-            for name, base in (("up", _ROOT), ("down", inverse)):
-                factors = np.full(size, base, np.uint64)
-                factors[0] = 1
-                setattr(cls, name, np.cumprod(factors, dtype=np.uint64))
-        return cls.up, cls.down
 
 
 def shingle_sets(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct 64-bit shingle hashes of all texts, and their offsets by text."""
     lengths = np.array([len(t) + 1 for t in texts], np.int64)
     data = _FOLD[np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)]
-    word = ~_IS_SPACE[data]
+    word = ~IS_SPACE[data]
     edges = np.flatnonzero(np.diff(np.concatenate(([False], word)).astype(np.int8)))  # starts and ends take turns
     starts, ends = edges[0::2], edges[1::2]
-    up, down = _Powers.get(len(data) + 1)
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(data.astype(np.uint64) * up[: len(data)], dtype=np.uint64, out=sums[1:])
-    words = mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64) * _SALT[0])
+    words = hash_spans(data, starts, ends)
     first = np.searchsorted(starts, offsets_of(lengths))  # first word of each text
     counts = np.diff(first)
 

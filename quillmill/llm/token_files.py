@@ -16,9 +16,9 @@ The documents are dealt out by ranges of their id and sorted; each part writes o
 file into the shared folder, under a name of its own attempt first, and renames it, so
 that a part that is run again replaces its file by an equal one.
 
-Encoding: no token of the vocabulary spans white space, so texts are cut there, and
-each chunk that a worker has not seen yet goes through the tokenizers library.
-Texts with one of \\x1c-\\x1f, which only Python takes for white space, go through it whole.
+Encoding: no token of the vocabulary spans white space, so texts are cut at ASCII white
+space, and each span that a worker has not seen yet goes through the tokenizers library
+(other white space stays inside a span, where the library drops it).
 
 Defined cases: a null text is empty and gives only the end id; documents are in
 ascending order of their id (null first), equal ids by text; a text may be of any length; an
@@ -28,7 +28,6 @@ empty table writes no file; other columns are ignored.
 from __future__ import annotations
 
 import os
-import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -37,18 +36,19 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillmill.llm.ragged import chunks_by_size, gather, offsets_of
+from quillmill.llm.ragged import chunks_by_size, offsets_of
+from quillmill.llm.spans import SpanCache
 
 MAGIC = b"QMTOK1\0\0"
 BLOCK = 4096  # ids of a block; a multiple of 8
-#: Chunks of text a Python worker keeps before it begins anew, and code points handled at once.
-CACHED_CHUNKS = 400_000
+#: Bytes of text, and spans, handled at once.
 CHUNK = 1_000_000
-_ODD_SPACE = re.compile("[\x1c-\x1f]")
+ENCODED_AT_ONCE = 1_000
 
 
 def bits_for(vocabulary_size: int) -> int:
@@ -124,45 +124,20 @@ class TokenFile:
         return self.ids(int(self.starts[i]), int(self.table[i, 2]))
 
 
-class ChunkEncoder:
-    """ids of texts by a tokenizer of the tokenizers library that drops white space."""
-
-    def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self._reset()
-
-    def _reset(self) -> None:
-        self._slot: dict[str, int] = {}
-        self._flat: list[int] = []
-        self._counts: list[int] = []
-
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        chunks: list[str] = []
-        ends = [0]
-        for text in texts:
-            chunks += [text] if _ODD_SPACE.search(text) else text.split()
-            ends.append(len(chunks))
-        if len(self._slot) > CACHED_CHUNKS:
-            self._reset()
-        new = list(set(chunks).difference(self._slot))
-        for chunk, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            ids = found.ids
-            self._slot[chunk] = len(self._counts)
-            self._flat.extend(ids)
-            self._counts.append(len(ids))
-        slots = np.fromiter(map(self._slot.__getitem__, chunks), np.int64, len(chunks))
-        counts = np.array(self._counts, np.int64)
-        lengths = counts[slots]
-        starts = offsets_of(counts)[:-1]
-        return gather(np.array(self._flat, np.uint32), starts[slots], lengths), offsets_of(lengths)[ends]
+@lru_cache(maxsize=2)
+def span_encoder(path: str) -> SpanCache:
+    """Encodes texts by a tokenizer of the tokenizers library that drops white space."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
 
+    tokenizer = Tokenizer.from_file(path)
 
-@lru_cache(maxsize=2)
-def _chunk_encoder(path: str) -> ChunkEncoder:
-    return ChunkEncoder(path)
+    def encode(spans: list[str]) -> Iterator[list[int]]:
+        for i in range(0, len(spans), ENCODED_AT_ONCE):
+            for found in tokenizer.encode_batch_fast(spans[i : i + ENCODED_AT_ONCE], add_special_tokens=False):
+                yield found.ids
+
+    return SpanCache(encode, keep_space=False)
 
 
 def _filesystem(uri: str):
@@ -180,13 +155,13 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, vocabulary_s
     bits = bits_for(vocabulary_size)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _chunk_encoder(tokenizer)
+        encoder = span_encoder(tokenizer)
         doc_ids, counts, ids = [], [], []
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
+            texts = batch.column(1)
             doc_ids += batch.column(0).to_pylist()
-            for i, j in chunks_by_size([len(t) for t in texts], CHUNK):
-                found, offsets = encoder.encode(texts[i:j])
+            for i, j in chunks_by_size(pa.compute.binary_length(texts).fill_null(0).to_pylist(), CHUNK):
+                found, offsets = encoder.encode([(t or "").encode() for t in texts[i:j].to_pylist()])
                 # the end id goes behind each document's ids
                 ids.append(np.insert(found, offsets[1:], end_id).astype(np.uint16 if bits <= 16 else np.uint32))
                 counts.append(np.diff(offsets) + 1)
