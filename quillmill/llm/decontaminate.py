@@ -142,7 +142,7 @@ def find_contamination(
     item_col: str = "item_id",
     item_text_col: str = "text",
 ) -> DataFrame:
-    """id, n_words, n_hit, items (sorted ids as strings), best_match: a row for each document row."""
+    """id, n_words, n_hit, items (sorted ids as strings), best_match, text_hash: a row for each document row."""
     spark = docs.sparkSession
     raw_items = benchmark.select(
         F.xxhash64(item_col, item_text_col).alias("ik"),
@@ -211,6 +211,7 @@ def find_contamination(
             F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),
             F.coalesce("items", F.array().cast("array<string>")).alias("items"),
             F.coalesce("best_match", F.lit(0.0)).alias("best_match"),
+            F.col("th").alias("text_hash"),
         )
     )
     delete_path(spark, path)

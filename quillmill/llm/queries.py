@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillmill.session import cut_lineage, delete_path, new_shared_path
-from quillmill.llm import byte_bpe, chat_format, decontaminate, exact_dedup, near_dedup, secrets, sharding, token_files
+from quillmill.llm import byte_bpe, chat_format, decontaminate, exact_dedup, language_id, near_dedup, quality, secrets, sharding, token_files
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,10 +38,32 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = language_id.fit(language_id.training_rows(docs, language_id.not_held_out()))
+    return docs.select("doc_id", language_id.predict(F.col("text"), model).alias("found")).select(
+        "doc_id",
+        (~language_id.not_held_out()).alias("held_out"),
+        F.col("found.lang").alias("lang_pred"),
+        F.col("found.score").alias("score"),
+        F.col("found.rejected").alias("rejected"),
+    )
+
+
 def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_groups(_table(spark, sf_dir, "documents"))
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", quality.statistics_column(F.col("text")).alias("stats"))
+    described = cut_lineage(docs)
+    x, y = quality.training_sample(described, _table(spark, sf_dir, "labels"), language_id.not_held_out())
+    scored = described.withColumn("score", quality.score_column(F.col("stats"), quality.fit(x, y)))
+    return scored.select(
+        "doc_id", (~language_id.not_held_out()).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
+    )
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find_contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -107,7 +129,9 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
+    "op2_language_id": op2_language_id,
     "op3_near_dedup": op3_near_dedup,
+    "op4_quality": op4_quality,
     "op5_decontaminate": op5_decontaminate,
     "op6_secrets": op6_secrets,
     "op7_exact_dedup": op7_exact_dedup,
