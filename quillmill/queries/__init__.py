@@ -1,10 +1,6 @@
 """Catalogue of the engine's own queries and their DuckDB oracles."""
 
-from __future__ import annotations
+from quillmill.queries import pricing  # noqa: F401
+from quillmill.queries.registry import ORACLES, QUERIES
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+__all__ = ["ORACLES", "QUERIES"]
