@@ -111,10 +111,7 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = token_files.write_token_files(
         _table(spark, sf_dir, "documents"), folder, public_tokenizers.path("word_bpe_49k.json"), vocabulary_size=49408, end_id=1
     )
-    back = token_files.read_token_files(files).select(
-        "doc_id", "start", F.size("ids").cast("long").alias("n_tokens"), token_files.ids_crc32(F.col("ids")).alias("ids_crc32")
-    )
-    back = cut_lineage(back)
+    back = cut_lineage(token_files.read_token_files(files, digest=token_files.ids_crc32).withColumnRenamed("digest", "ids_crc32"))
     delete_path(spark, folder)
     return back
 

@@ -30,7 +30,7 @@ from __future__ import annotations
 import os
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -38,7 +38,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillmill.llm.ragged import chunks_by_size, offsets_of
@@ -190,8 +190,12 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, vocabulary_s
     return spark.createDataFrame(sorted(written), "part long, file string, docs long, ids long")
 
 
-def read_token_files(files: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """id, start (ids of all documents before), ids: read back from the files of write_token_files()."""
+def read_token_files(files: DataFrame, id_col: str = "doc_id", digest: Callable[[np.ndarray], int] | None = None) -> DataFrame:
+    """id, start (ids of all documents before), n_tokens, ids: read back from the files of write_token_files().
+
+    With digest, its value for each document's ids (uint32) is returned in their place,
+    so that they need not leave the reader.
+    """
     spark = files.sparkSession
     listed = sorted(files.collect())  # a row a file
     rows, before = [], 0
@@ -205,28 +209,24 @@ def read_token_files(files: DataFrame, id_col: str = "doc_id") -> DataFrame:
                 system, path = _filesystem(file)
                 with system.open_input_file(path) as f:
                     tokens = TokenFile(np.frombuffer(f.read(), np.uint8))
-                for i, j in chunks_by_size(tokens.table[:, 2].tolist(), CHUNK):
+                for i, j in chunks_by_size(tokens.table[:, 2].tolist(), CHUNK // 4):
                     a, b = int(tokens.starts[i]), int(tokens.starts[j])
-                    part = tokens.table[i:j]
-                    lists = pa.ListArray.from_arrays(
-                        pa.array((tokens.starts[i : j + 1] - a).astype(np.int32)), pa.array(tokens.ids(a, b - a).astype(np.int64))
-                    )
+                    part, own = tokens.table[i:j], tokens.starts[i : j + 1] - a
+                    ids = tokens.ids(a, b - a)
+                    if digest is None:
+                        found = pa.ListArray.from_arrays(pa.array(own.astype(np.int32)), pa.array(ids.astype(np.int64)))
+                    else:
+                        found = pa.array([digest(ids[x:y]) for x, y in zip(own[:-1], own[1:], strict=True)], pa.int64())
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(part[:, 0], mask=part[:, 1].astype(bool)), pa.array(tokens.starts[i:j] + base), lists],
-                        names=[id_col, "start", "ids"],
+                        [pa.array(part[:, 0], mask=part[:, 1].astype(bool)), pa.array(tokens.starts[i:j] + base), pa.array(part[:, 2]), found],
+                        names=[id_col, "start", "n_tokens", last],
                     )
 
+    last, kind = ("ids", "array<long>") if digest is None else ("digest", "long")
     todo = spark.createDataFrame(rows, "part long, file string, base long")
-    return todo.repartition(max(1, len(rows)), "part").mapInArrow(read, f"`{id_col}` long, start long, ids array<long>")
-
-
-def ids_crc32(lists: Column) -> Column:
-    """Unsigned crc32 of each list as little-endian unsigned 32-bit integers."""
+    return todo.repartition(max(1, len(rows)), "part").mapInArrow(read, f"`{id_col}` long, start long, n_tokens long, {last} {kind}")
 
-    @F.arrow_udf("long")
-    def crc32(rows: pa.Array) -> pa.Array:
-        offsets = rows.offsets.to_numpy()
-        flat = rows.values.to_numpy(zero_copy_only=False).astype("<u4")
-        return pa.array([zlib.crc32(flat[a:b]) for a, b in zip(offsets[:-1], offsets[1:], strict=True)], pa.int64())
 
-    return crc32(lists)
+def ids_crc32(ids: np.ndarray) -> int:
+    """Unsigned crc32 of the ids as little-endian unsigned 32-bit integers."""
+    return zlib.crc32(ids.astype("<u4").tobytes())
