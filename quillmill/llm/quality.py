@@ -50,10 +50,11 @@ _CLASSES = {
 N_FEATURES = len(_CLASSES) + 12
 
 
-def _sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+def _sums(values: np.ndarray, offsets: np.ndarray, less: int = 0) -> np.ndarray:
+    """Sums of the values from each offset to the next one, the last `less` of them left out."""
     running = np.zeros(len(values) + 1, np.float64)
     np.cumsum(values, out=running[1:])
-    return running[offsets[1:]] - running[offsets[:-1]]
+    return running[offsets[1:] - less] - running[offsets[:-1]]
 
 
 def _repeats(hashes: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -122,7 +123,7 @@ def statistics(texts: list[bytes]) -> np.ndarray:
     lines_by_doc = np.searchsorted(line_starts, offsets)
     n_lines = np.diff(lines_by_doc)
     line_distinct, _ = _repeats(hash_spans(data, line_starts, line_ends), lines_by_doc)
-    repeated = _sums(data[1:] == data[:-1], np.minimum(offsets, len(data) - 1)) if len(data) else np.zeros(0)
+    repeated = _sums(data[1:] == data[:-1], offsets, less=1)  # of bytes, neighbours that are equal
     out += [np.log1p(lengths / np.maximum(n_lines, 1)), np.log(1.02 - line_distinct * (n_lines > 0)), share(np.maximum(repeated - 1, 0), size)]
     return np.column_stack(out)
 
