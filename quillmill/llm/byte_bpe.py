@@ -32,7 +32,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from quillmill.llm.ragged import chunks_by_size, gather, offsets_of
+from quillmill.llm.ragged import chunks_by_size, clears_cache, gather, offsets_of, worker
 from quillmill.llm.spans import SpanCache
 
 #: Unicode White_Space, which `\s` stands for in the pattern.
@@ -242,10 +242,14 @@ def _encoder(path: str) -> Encoder:
     return Encoder(Vocabulary(load_ranks(path)))
 
 
+clears_cache("byte_bpe", _encoder.cache_clear)
+
+
 def encode_column(text: Column, path: str) -> Column:
     """The ids of the text, array<int>, by the ranks in the file at path (on every executor)."""
 
     @F.arrow_udf("array<int>")
+    @worker("byte_bpe")
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = _encoder(path)
         for texts in batches:
@@ -262,6 +266,7 @@ def decode_column(ids: Column, path: str) -> Column:
     """The bytes that an array<int> of ids stands for; null stays null."""
 
     @F.arrow_udf("binary")
+    @worker("byte_bpe")
     def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         vocabulary = _encoder(path).vocabulary
         for batch in batches:

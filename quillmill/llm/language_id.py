@@ -27,7 +27,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillmill.llm.ragged import chunks_by_size, offsets_of
+from quillmill.llm.ragged import chunks_by_size, offsets_of, worker
 
 #: The training sample: at most so many rows, each of at most so many bytes.
 TRAIN_ROWS, TRAIN_BYTES = 4_000, 20_000
@@ -148,6 +148,7 @@ def predict(text: Column, model: LanguageModel | None) -> Column:
     """struct(lang, score, rejected)."""
 
     @F.arrow_udf("struct<lang:string,score:double,rejected:boolean>")
+    @worker("language_id")
     def language(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
             for i, j in chunks_by_size(pa.compute.binary_length(texts).fill_null(0).to_pylist(), CHUNK):

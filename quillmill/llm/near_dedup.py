@@ -27,11 +27,12 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillmill.llm.components import connected_components
-from quillmill.llm.ragged import chunks_by_size, offsets_of
+from quillmill.llm.ragged import chunks_by_size, offsets_of, worker
 from quillmill.llm.spans import IS_SPACE, hash_spans, mix
 from quillmill.session import cut_lineage, maybe_broadcast
 
@@ -110,12 +111,13 @@ def _set_keys(flat: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
 _SIGNED = "doc long, n int, k1 long, k2 long, trees array<long>, sig binary"
 
 
+@worker("near_dedup")
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """n, the set's keys, a region key for each tree, and the lowest byte of each signature value."""
     for batch in batches:
-        texts = [(t or "").encode() for t in batch.column(1).to_pylist()]
-        for i, j in chunks_by_size([len(t) for t in texts], CHUNK):
-            flat, offsets = shingle_sets(texts[i:j])
+        texts = batch.column(1)
+        for i, j in chunks_by_size(pa.compute.binary_length(texts).fill_null(0).to_pylist(), CHUNK):
+            flat, offsets = shingle_sets([(t or "").encode() for t in texts[i:j].to_pylist()])
             n = np.diff(offsets)
             full = n > 0
             k1, k2 = _set_keys(flat, offsets)
@@ -180,6 +182,7 @@ def _alike(sig: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     return out
 
 
+@worker("near_dedup")
 def _chain_regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (region, rep, sig) by region -> edges (a, b) that chain the candidates of a region."""
     for table in _whole_groups(batches, 4_000_000):
@@ -215,6 +218,7 @@ def _chain_regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 def _confirm(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    @worker("near_dedup")
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows (grp, rep, k1, text) by grp -> edges (a, b) from the least class to the others it is linked with."""
         for table in _whole_groups(batches, 8_000_000):

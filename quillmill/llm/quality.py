@@ -25,7 +25,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillmill.llm.ragged import chunks_by_size, offsets_of
+from quillmill.llm.ragged import chunks_by_size, offsets_of, worker
 from quillmill.llm.spans import IS_SPACE, hash_spans
 
 #: Labelled rows of statistics that the model is fitted on, at most.
@@ -206,6 +206,7 @@ def fit(x: np.ndarray, y: np.ndarray) -> Discriminant:
 
 def statistics_column(text: Column) -> Column:
     @F.arrow_udf("array<double>")
+    @worker("quality")
     def describe(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
             for i, j in chunks_by_size(pa.compute.binary_length(texts).fill_null(0).to_pylist(), CHUNK):

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
+from functools import wraps
 
 import numpy as np
+import pyarrow as pa
 
 
 def gather(pool: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -30,3 +33,46 @@ def chunks_by_size(sizes: list[int], limit: int) -> Iterator[tuple[int, int]]:
         total += size
     if begin < len(sizes):
         yield begin, len(sizes)
+
+
+#: What clears each operator's caches in this process, by the operator's name.
+_CLEARS: dict[str, Callable[[], object]] = {}
+_busy_with = ""
+
+
+def clears_cache(name: str, clear: Callable[[], object]) -> None:
+    _CLEARS[name] = clear
+
+
+def release_memory() -> None:
+    """Give what is free back to the system: Spark keeps a Python worker for later tasks, of other operators too."""
+    pa.default_memory_pool().release_unused()
+    try:
+        libc = ctypes.CDLL(None)
+        libc.mallopt(-3, 1 << 20)  # M_MMAP_THRESHOLD: larger blocks go back as they are freed
+        libc.malloc_trim(0)
+    except (AttributeError, OSError):  # not glibc
+        pass
+
+
+def worker(name: str) -> Callable[[Callable], Callable]:
+    """For a function that runs in Python workers (batches in, batches out): when a worker
+    turns from one operator to another, the caches of the former go; at the end of each
+    task, free memory goes back to the system."""
+
+    def wrap(f: Callable) -> Callable:
+        @wraps(f)
+        def task(batches: Iterator) -> Iterator:
+            global _busy_with
+            if _busy_with != name:
+                for other, clear in _CLEARS.items():
+                    if other != name:
+                        clear()
+                _busy_with = name
+                release_memory()
+            yield from f(batches)
+            release_memory()
+
+        return task
+
+    return wrap

@@ -41,7 +41,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillmill.llm.ragged import chunks_by_size, offsets_of
+from quillmill.llm.ragged import chunks_by_size, clears_cache, offsets_of, worker
 from quillmill.llm.spans import SpanCache
 
 MAGIC = b"QMTOK1\0\0"
@@ -140,6 +140,9 @@ def span_encoder(path: str) -> SpanCache:
     return SpanCache(encode, keep_space=False)
 
 
+clears_cache("token_files", span_encoder.cache_clear)
+
+
 def _filesystem(uri: str):
     from pyarrow import fs
 
@@ -154,6 +157,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, vocabulary_s
     spark = docs.sparkSession
     bits = bits_for(vocabulary_size)
 
+    @worker("token_files")
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = span_encoder(tokenizer)
         doc_ids, counts, ids = [], [], []
@@ -203,6 +207,7 @@ def read_token_files(files: DataFrame, id_col: str = "doc_id", digest: Callable[
         rows.append((f["part"], f["file"], before))
         before += f["ids"]
 
+    @worker("token_files")
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for file, base in zip(batch.column("file").to_pylist(), batch.column("base").to_pylist(), strict=True):
