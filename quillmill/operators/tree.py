@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quillmill.functions import pricing_text
 
-_BLOCK_TYPES = "('paragraph','table','subsection')"
-
-
 def flatten_blocks(spark: SparkSession, docs: DataFrame, id_col: str, json_col: str, max_depth: int = 100) -> DataFrame:
     """id, path (array of positions), depth, block_type, heading, text, caption, headers, rows: blocks in preorder by path.
 
@@ -17,7 +16,7 @@ def flatten_blocks(spark: SparkSession, docs: DataFrame, id_col: str, json_col:
     unknown type with a text are paragraphs; blank paragraphs are left out, the children
     of blank headings kept; a block that is bare text is a paragraph. Malformed JSON gives no rows.
     """
-    name = f"_docs_{abs(hash((id_col, json_col))) % 10**8}"
+    name = f"_docs_{uuid.uuid4().hex}"
     docs.select(F.col(id_col).alias("id"), F.try_parse_json(F.col(json_col)).alias("v")).filter("v is not null").createOrReplaceTempView(name)
     rows = spark.sql(
         f"""
@@ -30,6 +29,7 @@ def flatten_blocks(spark: SparkSession, docs: DataFrame, id_col: str, json_col:
         SELECT id, path, depth, v FROM blocks
         """
     )
+    spark.catalog.dropTempView(name)  # the plan is resolved
     get = lambda p, t: F.try_variant_get(F.col("v"), p, t)
     kind = get("$.type", "string")
     text = F.coalesce(get("$.text", "string"), F.when(F.schema_of_variant("v") == "STRING", F.try_variant_get("v", "$", "string")))
