@@ -159,7 +159,8 @@ def q_name_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def q_cooccurrence_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sets = dedupe.contract_sets(table(spark, sf_dir, "part").filter("p_size <= 3"), "p_name", "p_brand")
+    parts = table(spark, sf_dir, "part").select("p_name", F.when(F.col("p_size") <= 3, F.col("p_brand")).alias("brand"))
+    sets = dedupe.contract_sets(parts, "p_name", "brand")
     return dedupe.split_by_cooccurrence(sets.withColumn("first", F.split("p_name", " ")[0]), "first", "p_name", "contracts")
 
 
