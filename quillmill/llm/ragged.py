@@ -48,9 +48,7 @@ def release_memory() -> None:
     """Give what is free back to the system: Spark keeps a Python worker for later tasks, of other operators too."""
     pa.default_memory_pool().release_unused()
     try:
-        libc = ctypes.CDLL(None)
-        libc.mallopt(-3, 1 << 20)  # M_MMAP_THRESHOLD: larger blocks go back as they are freed
-        libc.malloc_trim(0)
+        ctypes.CDLL(None).malloc_trim(0)
     except (AttributeError, OSError):  # not glibc
         pass
 
