@@ -3,13 +3,16 @@ r"""Near-duplicates through an LSH forest over MinHash signatures.
 * Sets: A-Z lowered, words [^\x20\x09-\x0D]+, distinct shingles of five words; a text
   of fewer words is one shingle. Equal sets are one class from here on.
 * Forest: TREES orders of the signatures, DEPTH values each. Neighbours in an order are
-  those with a common prefix: a region begins at FIRST_DEPTH values and, where more
-  than REGION classes share the prefix, is refined value by value; what is still
-  larger at full depth is dealt into blocks, differently in each tree.
+  those with a common prefix of FIRST_DEPTH values: a region.
 * Candidates: inside a region, pairs whose signatures agree in at least CANDIDATE of
   their values are chained; the connected components of all chains are the clusters
   of candidates. A pair of similarity 0.75 shares no region of FIRST_DEPTH values with
   a chance of (1 - 0.75 ** 3) ** 22, 6 in a million.
+* A region of more than REGION classes is chained in two rounds. The first refines it
+  value by value and deals what is still larger at full depth into blocks, which finds
+  most chains cheaply. The second cuts the whole region into blocks of BLOCK classes
+  and lets every two blocks meet, so no pair of it is left out; only blocks that hold
+  one and the same cluster of the first round need not meet.
 * Links: a cluster's texts meet once, and pairs are confirmed on their full sets, those
   that are already connected excepted, beginning with the class that resembles the
   others most. A cluster beyond CLUSTER_SHINGLES or CLUSTER_CLASSES is cut into blocks
@@ -28,7 +31,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillmill.llm.components import connected_components
@@ -40,6 +43,8 @@ SHINGLE = 5
 TREES, FIRST_DEPTH, DEPTH = 22, 3, 5
 SLOTS = TREES * DEPTH
 REGION = 4096
+#: Classes of a block of a larger region: two of them are about a region.
+BLOCK = REGION // 2
 #: Share of equal signature values from which a pair is a candidate: about five
 #: standard deviations below 0.75 for 110 values.
 CANDIDATE = 0.55
@@ -184,10 +189,16 @@ def _alike(sig: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
 
 @worker("near_dedup")
 def _chain_regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (region, rep, sig) by region -> edges (a, b) that chain the candidates of a region."""
+    """Rows (region, rep, sig) by region -> edges (a, b) that chain the candidates of a region.
+
+    With block and known, by region and block: what shares known is chained already, and
+    where a region has two blocks, only pairs across them are compared.
+    """
     for table in _whole_groups(batches, 4_000_000):
         region, rep = table.column("region").to_numpy(), table.column("rep").to_numpy()
         sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint8).reshape(-1, SLOTS)
+        paired = "block" in table.column_names
+        block, known = (table.column(c if paired else "rep").to_numpy() for c in ("block", "known"))
         heads = np.flatnonzero(np.append(True, region[1:] != region[:-1]))
         sizes = np.diff(np.append(heads, len(region)))
         left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
@@ -199,9 +210,11 @@ def _chain_regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             right.append(i[ok] + d)
         for head, size in zip(heads[sizes > 64], sizes[sizes > 64], strict=True):
             # each class in turn against those after it that are not chained to it yet
-            mine, label = sig[head : head + size], np.arange(size)
-            for i in range(size - 1):
-                j = np.flatnonzero(label[i + 1 :] != label[i]) + i + 1
+            mine, label = sig[head : head + size], np.unique(known[head : head + size], return_inverse=True)[1]
+            cut = int(np.sum(block[head : head + size] == block[head])) if paired else size
+            for i in range(min(cut, size - 1)):
+                after = i + 1 if cut == size else cut
+                j = np.flatnonzero(label[after:] != label[i]) + after
                 j = j[(mine[j] == mine[i]).mean(axis=1) >= CANDIDATE]
                 if len(j):
                     left.append(np.full(len(j), head + i))
@@ -271,15 +284,13 @@ def _link(sets: list[np.ndarray], ids: np.ndarray, percent: int) -> np.ndarray:
     return label
 
 
-def _regions(classes: DataFrame) -> DataFrame:
-    """region, rep, sig: the classes of each region that has several."""
-    rows = classes.select("rep", "sig", F.posexplode("trees").alias("tree", "region"))
+def _regions(rows: DataFrame, sizes: DataFrame) -> DataFrame:
+    """region, rep, sig: the classes of each region that has several; larger ones are refined and dealt out."""
 
-    def shared(rows: DataFrame) -> DataFrame:
-        sizes = cut_lineage(rows.groupBy("region").agg(F.count(F.lit(1)).alias("size")).filter("size > 1"))
+    def shared(rows: DataFrame, sizes: DataFrame) -> DataFrame:
         return rows.join(maybe_broadcast(sizes), "region")
 
-    found = shared(rows)
+    found = shared(rows, sizes)
     ready = found.filter(F.col("size") <= REGION).select("region", "rep", "sig")
     for depth in range(FIRST_DEPTH, DEPTH + 1):
         large = found.filter(F.col("size") > REGION)
@@ -287,7 +298,8 @@ def _regions(classes: DataFrame) -> DataFrame:
             break
         if depth < DEPTH:
             value = F.expr(f"substring(sig, tree * {DEPTH} + {depth + 1}, 1)")
-            found = shared(large.select("rep", "sig", "tree", F.xxhash64("region", value).alias("region")))
+            refined = large.select("rep", "sig", "tree", F.xxhash64("region", value).alias("region"))
+            found = shared(refined, _region_sizes(refined))
             ready = ready.unionByName(found.filter(F.col("size") <= REGION).select("region", "rep", "sig"))
         else:
             block = F.pmod(F.xxhash64("rep", "tree"), F.ceil(F.col("size") / REGION))
@@ -295,6 +307,73 @@ def _regions(classes: DataFrame) -> DataFrame:
     return ready
 
 
+def _region_sizes(rows: DataFrame) -> DataFrame:
+    return cut_lineage(rows.groupBy("region").agg(F.count(F.lit(1)).alias("size")).filter("size > 1"))
+
+
+def _block_pairs(rows: DataFrame, large: DataFrame, clusters: DataFrame) -> DataFrame:
+    """region, block, rep, sig, known: every two blocks of each large region as one group.
+
+    A cluster that fills a block in a region has blocks of its own there, which need not
+    meet each other; all other classes of the region share the mixed blocks.
+    """
+    members = cut_lineage(
+        rows.join(maybe_broadcast(large.select("region")), "region")
+        .join(maybe_broadcast(clusters), "rep", "left")
+        .select("region", "rep", "sig", F.coalesce("cluster", "rep").alias("known"))
+    )
+    parts = cut_lineage(
+        members.groupBy("region", "known").agg(F.count(F.lit(1)).alias("size"))
+        .groupBy("region", F.when(F.col("size") >= BLOCK, F.col("known")).alias("own"))
+        .agg(F.ceil(F.sum("size") / BLOCK).alias("blocks"))
+    )
+
+    def name(i: Column) -> Column:
+        return F.xxhash64("region", F.coalesce("own", F.lit(-1).cast("long")), F.col("own").isNull(), i.cast("long"))
+
+    blocks = cut_lineage(
+        parts.withColumn("i", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).select("region", "own", name(F.col("i")).alias("block"))
+    )
+    others = blocks.select("region", F.col("own").alias("own2"), F.col("block").alias("other"))
+    pairs = cut_lineage(
+        blocks.join(maybe_broadcast(others), "region")
+        .filter("own is null or own2 is null or own <> own2")
+        .select("block", F.xxhash64(F.least("block", "other"), F.greatest("block", "other")).alias("pair"))
+    )
+    pure = parts.filter("own is not null").withColumnRenamed("blocks", "own_blocks")
+    mixed = parts.filter("own is null").select("region", F.col("blocks").alias("mixed_blocks"))
+    dealt = (
+        members.join(maybe_broadcast(pure.withColumn("known", F.col("own"))), ["region", "known"], "left")
+        .join(maybe_broadcast(mixed), "region", "left")
+        .withColumn("block", name(F.pmod(F.xxhash64("rep"), F.coalesce("own_blocks", "mixed_blocks"))))
+    )
+    return dealt.join(maybe_broadcast(pairs), "block").select(F.col("pair").alias("region"), "block", "rep", "sig", "known")
+
+
+def _chains(classes: DataFrame) -> DataFrame:
+    """rep, cluster: the components of the candidates that all regions chain."""
+    parts = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def chained(regions: DataFrame, *order: str) -> DataFrame:
+        return cut_lineage(
+            regions.repartition(parts, "region").sortWithinPartitions(*order).mapInArrow(_chain_regions, "a long, b long").distinct()
+        )
+
+    def components(edges: DataFrame) -> DataFrame:
+        return connected_components(edges).withColumnRenamed("component", "cluster").withColumnRenamed("node", "rep")
+
+    rows = classes.select("rep", "sig", F.posexplode("trees").alias("tree", "region"))
+    sizes = _region_sizes(rows)
+    edges = chained(_regions(rows, sizes), "region")
+    clusters = components(edges)
+    large = sizes.filter(F.col("size") > REGION)
+    if not large.isEmpty():
+        more = chained(_block_pairs(rows, large, clusters), "region", "block")
+        if not more.isEmpty():
+            clusters = components(edges.unionByName(more))
+    return clusters
+
+
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75) -> DataFrame:
     """id, n_shingles, component_id, kept: a row for each row."""
     signed = cut_lineage(docs.select(F.col(id_col).cast("long"), text_col).mapInArrow(_sign, _SIGNED))
@@ -305,14 +384,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         .agg(F.min("doc").alias("rep"), F.count(F.lit(1)).alias("copies"), F.any_value("trees").alias("trees"), F.any_value("sig").alias("sig"))
     )
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    chains = (
-        _regions(classes)
-        .repartition(parts, "region")
-        .sortWithinPartitions("region")
-        .mapInArrow(_chain_regions, "a long, b long")
-        .distinct()
-    )
-    clusters = connected_components(cut_lineage(chains)).withColumnRenamed("component", "cluster").withColumnRenamed("node", "rep")
+    clusters = _chains(classes)
 
     members = classes.select("rep", "k1", "n").join(maybe_broadcast(clusters), "rep")
     sizes = cut_lineage(

@@ -77,6 +77,43 @@ def test_near_dedup(spark, monkeypatch, small):
     assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in out)
 
 
+def _hidden_pair():
+    """A near-duplicate pair, and texts unlike it: in each tree that the pair shares, 200 of them have its common prefix too."""
+    rng = random.Random(3)
+    fresh = lambda n: " ".join("r%d" % rng.randrange(10**9) for _ in range(n))
+
+    def signed(texts):
+        return near_dedup.minhash(*near_dedup.shingle_sets([t.encode() for t in texts]))
+
+    words = fresh(120).split(" ")
+    pair = [" ".join(words[:107]), " ".join(words[13:])]  # 90 of 116 shingles
+    pieces = [" ".join(words[i : i + 5]) for i in range(116)]
+    low, both = signed(pieces).argmin(axis=0), signed(pair)
+    same, texts = both[0] == both[1], []
+    for t in range(near_dedup.TREES):
+        slots = range(t * near_dedup.DEPTH, (t + 1) * near_dedup.DEPTH)
+        depth = next((d for d, k in enumerate(slots) if not same[k]), near_dedup.DEPTH)
+        if depth >= near_dedup.FIRST_DEPTH:
+            shared = list(slots)[:depth]
+            needed = sorted({int(low[k]) for k in shared})
+            made = [" ".join(f"{fresh(2)} {pieces[i]}" for i in needed) for _ in range(4000)]
+            fits = (signed(made)[:, shared] == both[0, shared]).all(axis=1)
+            assert fits.sum() >= 200
+            texts += [made[i] for i in np.flatnonzero(fits)[:200]]
+    return pair, texts
+
+
+def test_near_dedup_pair_in_large_regions(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "REGION", 4)
+    monkeypatch.setattr(near_dedup, "BLOCK", 2)
+    pair, others = _hidden_pair()
+    rows = [(i, t, "x") for i, t in enumerate([*pair, *others])]
+    out = near_dedup.near_groups(spark.createDataFrame(rows, DOCS).repartition(3)).collect()
+    want = _components([r[0] for r in rows[:2]], _sets(pair))
+    assert want == {0: 0, 1: 0}
+    assert {r["doc_id"]: r["component_id"] for r in out} == want | {r[0]: r[0] for r in rows[2:]}
+
+
 def test_near_dedup_odd_rows(spark):
     assert near_dedup.near_groups(spark.createDataFrame([], DOCS)).count() == 0
     rows = [(1, "a b c d e f", ""), (1, "a b c d e f", ""), (None, "a b c d e f", ""), (2, "A B C D E F", ""), (3, None, "")]
