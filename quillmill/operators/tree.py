@@ -16,6 +16,7 @@ def flatten_blocks(spark: SparkSession, docs: DataFrame, id_col: str, json_col:
     unknown type with a text are paragraphs; blank paragraphs are left out, the children
     of blank headings kept; a block that is bare text is a paragraph. Malformed JSON gives no rows.
     """
+    spark.conf.set("spark.sql.cteRecursionRowLimit", "-1")  # read when the query runs; the depth is what ends the recursion
     name = f"_docs_{uuid.uuid4().hex}"
     docs.select(F.col(id_col).alias("id"), F.try_parse_json(F.col(json_col)).alias("v")).filter("v is not null").createOrReplaceTempView(name)
     rows = spark.sql(

@@ -270,3 +270,13 @@ def test_streams(spark, tmp_path):
     weekly = ingest.weekly_counts(ingest.read_documents(spark, source, schema), "ts", [], "v")
     ingest.write_table(weekly, str(tmp_path / "weekly"), str(tmp_path / "c2")).awaitTermination()
     assert sorted(r["n"] for r in spark.read.parquet(str(tmp_path / "weekly")).collect()) == [1, 2]
+
+
+def test_flatten_blocks_beyond_the_row_limit(spark):
+    spark.conf.set("spark.sql.cteRecursionRowLimit", "20")
+    try:
+        blocks = [{"type": "subsection", "heading": str(i), "content": [{"type": "paragraph", "text": "p"}]} for i in range(30)]
+        docs = spark.createDataFrame([("d", json.dumps(blocks))], "id string, js string")
+        assert tree.flatten_blocks(spark, docs, "id", "js").count() == 60
+    finally:
+        spark.conf.unset("spark.sql.cteRecursionRowLimit")
