@@ -38,7 +38,8 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ids = docs.select("doc_id", byte_bpe.encode_column(F.col("text"), RANKS).alias("ids"))
-    return ids.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids")
+    decoded = F.sha2(byte_bpe.decode_column(F.col("ids"), RANKS), 256)
+    return ids.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", decoded.alias("decoded_sha256"))
 
 
 STAGES = [

@@ -1,5 +1,6 @@
 """Near-duplicates, tokenizers, language ID, quality and the pipeline."""
 
+import hashlib
 import os
 import random
 import re
@@ -288,6 +289,14 @@ def _pipeline_fixture():
     return rows, [(1, item), (2, None)]
 
 
+def test_pipeline_decodes(spark):
+    import corpus_pipeline
+
+    rows = [(i, t, "x") for i, t in enumerate(ODD)]
+    out = corpus_pipeline.encode(spark, spark.createDataFrame(rows, DOCS), "").collect()
+    assert {r["doc_id"]: r["decoded_sha256"] for r in out} == {i: hashlib.sha256((t or "").encode()).hexdigest() for i, t, _ in rows}
+
+
 def test_pipeline(spark, tmp_path, reference_bpe):
     import corpus_pipeline
 
