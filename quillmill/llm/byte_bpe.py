@@ -10,7 +10,8 @@ are made anew, until as many entries in a row as the longest token has bytes agr
 with the old ones.
 
 Texts are cut by the vocabulary's pattern first, each piece is encoded by itself and
-kept in a bounded cache of spans. Whole texts are encoded, batch by batch, without a shuffle.
+kept in a bounded cache of spans, whose bytes are compared on every hit. Whole texts are
+encoded, chunk by chunk, without a shuffle.
 
 Defined cases: a null text is empty and has no ids; repeated rows give repeated
 results; a text may be of any length; an empty table gives an empty table; other
@@ -37,10 +38,10 @@ from quillmill.llm.spans import SpanCache
 
 #: Unicode White_Space, which `\s` stands for in the pattern.
 WHITE_SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-#: Pairs of tokens a Python worker keeps before it begins anew.
-CACHED_PAIRS = 400_000
+#: Pairs of tokens a Python worker keeps before it begins anew, and spans before it forgets the rare ones.
+CACHED_PAIRS, CACHED_SPANS = 300_000, 1_500_000
 #: Bytes of text handled at once.
-CHUNK = 1_000_000
+CHUNK = 500_000
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -53,16 +54,22 @@ class Vocabulary:
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
-        self.tokens = {rank: token for token, rank in ranks.items()}
+        n = max(ranks.values()) + 1
+        self.tokens: list[bytes] = [b""] * n
+        for token, rank in ranks.items():
+            self.tokens[rank] = token
         self.longest = max(map(len, ranks))
-        self._pairs: dict[int, bool] = {}
+        #: How many bytes the longest token has that ends in these three.
+        self.reach: dict[bytes, int] = {}
+        for token in ranks:
+            if len(token) > 2 and self.reach.get(token[-3:], 0) < len(token):
+                self.reach[token[-3:]] = len(token)
+        self.pairs: dict[int, bool] = {}
+        self.made: set[int] = set()
         self._halves: dict[bytes, tuple[bytes, bytes] | None] = {}
-        n = max(self.tokens) + 1
-        self._lengths = np.zeros(n, np.int64)
-        for rank, token in self.tokens.items():
-            self._lengths[rank] = len(token)
+        self._lengths = np.array([len(t) for t in self.tokens], np.int64)
         self._starts = offsets_of(self._lengths)[:-1]
-        self._bytes = np.frombuffer(b"".join(self.tokens.get(i, b"") for i in range(n)), np.uint8)
+        self._bytes = np.frombuffer(b"".join(self.tokens), np.uint8)
 
     def merged(self, data: bytes, until: int = 1) -> list[bytes]:
         """Merge the pair of lowest rank, leftmost first, until none or `until` parts are left."""
@@ -82,8 +89,13 @@ class Vocabulary:
             self._halves[token] = (parts[0], parts[1]) if len(parts) == 2 else None
         return self._halves[token]
 
-    def made(self, token: bytes) -> bool:
-        return len(token) == 1 or self.halves(token) is not None
+    def makes(self, rank: int) -> bool:
+        """True if merges make the token; `made` remembers those."""
+        token = self.tokens[rank]
+        if len(token) > 1 and self.halves(token) is None:
+            return False
+        self.made.add(rank)
+        return True
 
     def _edge(self, token: bytes, side: int) -> list[tuple[bytes, int]]:
         """The tokens that stand at the token's left (0) or right (1) edge while it is being
@@ -100,12 +112,12 @@ class Vocabulary:
         """True if no merge ever crosses from a to b: a crossing merge would have to come
         before the merges that end the two tokens it joins (at equal ranks, the left one first)."""
         key = a << 32 | b
-        known = self._pairs.get(key)
+        known = self.pairs.get(key)
         if known is None:
-            if len(self._pairs) >= CACHED_PAIRS:
-                self._pairs.clear()
+            if len(self.pairs) >= CACHED_PAIRS:
+                self.pairs.clear()
             right = self._edge(self.tokens[b], 0)
-            known = self._pairs[key] = not any(
+            known = self.pairs[key] = not any(
                 (rank := self.ranks.get(x + y)) is not None and rank < x_ends and rank <= y_ends
                 for x, x_ends in self._edge(self.tokens[a], 1)
                 for y, y_ends in right
@@ -125,19 +137,31 @@ class PrefixTable:
         self.vocabulary, self.data, self.last = vocabulary, b"", [-1]
         self.append(data)
 
-    def _token_before(self, data: bytes, end: int, last: list[int]) -> int:
-        ranks, valid, made = self.vocabulary.ranks, self.vocabulary.valid, self.vocabulary.made
-        for start in range(max(0, end - self.vocabulary.longest), end):
-            token = ranks.get(data[start:end])
-            if token is not None and (start == 0 or valid(last[start], token)) and made(data[start:end]):
-                return token
-        raise ValueError(f"no token ends at byte {end}")
+    def _fill(self, data: bytes, last: list[int], stop: int) -> None:
+        """Find the last token of each prefix up to `stop` bytes; only tokens as long as a prefix's last bytes allow are tried."""
+        v = self.vocabulary
+        rank_of, pair, reach, made = v.ranks.get, v.pairs.get, v.reach.get, v.made
+        for end in range(len(last), stop + 1):
+            begin = end - (reach(data[end - 3 : end]) or 2) if end > 2 else 0
+            for start in range(begin if begin > 0 else 0, end):
+                token = rank_of(data[start:end])
+                if token is None:
+                    continue
+                if start:
+                    ok = pair(last[start] << 32 | token)
+                    if ok is None:
+                        ok = v.valid(last[start], token)
+                    if not ok:
+                        continue
+                if token in made or v.makes(token):
+                    last.append(token)
+                    break
+            else:
+                raise ValueError(f"no token ends at byte {end}")
 
     def append(self, more: bytes) -> None:
-        data, last = self.data + more, self.last
-        for end in range(len(self.data) + 1, len(data) + 1):
-            last.append(self._token_before(data, end, last))
-        self.data = data
+        self.data += more
+        self._fill(self.data, self.last, len(self.data))
 
     def edit(self, start: int, stop: int, new: bytes) -> int:
         """Put new in the place of data[start:stop]; returns how many entries were made anew."""
@@ -145,8 +169,8 @@ class PrefixTable:
         data = self.data[:start] + new + tail
         last, shift, same, made = old_last[: start + 1], len(new) - (stop - start), 0, 0
         for end in range(start + 1, len(data) + 1):
-            token = self._token_before(data, end, last)
-            last.append(token)
+            self._fill(data, last, end)
+            token = last[end]
             made += 1
             old = end - shift
             inside = old > stop and end - self.vocabulary.longest >= start + len(new)
@@ -217,7 +241,7 @@ class Encoder:
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
-        self._spans = SpanCache(lambda spans: map(self._ids, spans), keep_space=True)
+        self._spans = SpanCache(lambda spans: map(self._ids, spans), keep_space=True, limit=CACHED_SPANS)
 
     def _ids(self, text: str) -> list[int]:
         ids: list[int] = []
@@ -245,6 +269,21 @@ def _encoder(path: str) -> Encoder:
 clears_cache("byte_bpe", _encoder.cache_clear)
 
 
+def _encoded(encoder: Encoder, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """ids and offsets of the texts, chunk by chunk: what is held follows the chunk, not the batch."""
+    for i, j in chunks_by_size(pa.compute.binary_length(texts).fill_null(0).to_pylist(), CHUNK):
+        yield encoder.encode([t or "" for t in texts[i:j].to_pylist()])
+
+
+def _decoded(vocabulary: Vocabulary, ids: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    data, ends = vocabulary.decode(ids, offsets)
+    return pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(data)])
+
+
+def _lists(ids: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids, pa.int32()))
+
+
 def encode_column(text: Column, path: str) -> Column:
     """The ids of the text, array<int>, by the ranks in the file at path (on every executor)."""
 
@@ -253,10 +292,8 @@ def encode_column(text: Column, path: str) -> Column:
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = _encoder(path)
         for texts in batches:
-            # a chunk at a time: what is held follows the chunk, not the batch
-            for i, j in chunks_by_size(pa.compute.binary_length(texts).fill_null(0).to_pylist(), CHUNK):
-                ids, offsets = encoder.encode([t or "" for t in texts[i:j].to_pylist()])
-                yield pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids, pa.int32()))
+            for found in _encoded(encoder, texts):
+                yield _lists(*found)
 
     # not deterministic: else the plan may encode once for each use of the column
     return encode.asNondeterministic()(text)
@@ -270,12 +307,29 @@ def decode_column(ids: Column, path: str) -> Column:
     def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         vocabulary = _encoder(path).vocabulary
         for batch in batches:
-            for i, j in chunks_by_size(pa.compute.list_value_length(batch).fill_null(0).to_pylist(), CHUNK // 4):
+            for i, j in chunks_by_size(pa.compute.list_value_length(batch).fill_null(0).to_pylist(), CHUNK // 4):  # ids
                 rows = batch[i:j]
                 offsets = rows.offsets.to_numpy().astype(np.int64)
-                flat = rows.values.to_numpy(zero_copy_only=False)[offsets[0] : offsets[-1]]
-                data, ends = vocabulary.decode(flat, offsets - offsets[0])
-                made = pa.Array.from_buffers(pa.binary(), j - i, [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(data)])
+                made = _decoded(vocabulary, rows.values.to_numpy(zero_copy_only=False)[offsets[0] : offsets[-1]], offsets - offsets[0])
                 yield pa.compute.if_else(rows.is_valid(), made, pa.scalar(None, pa.binary())) if rows.null_count else made
 
     return decode(ids)
+
+
+def encode_decode_column(text: Column, path: str) -> Column:
+    """struct(ids, decoded): the text's ids, and the bytes that these ids stand for.
+
+    Both in one Python worker: two functions in one plan would take two workers a task,
+    each with a table of spans that grows half as fast.
+    """
+    kinds = [("ids", pa.list_(pa.int32())), ("decoded", pa.binary())]
+
+    @F.arrow_udf("struct<ids:array<int>,decoded:binary>")
+    @worker("byte_bpe")
+    def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        encoder = _encoder(path)
+        for texts in batches:
+            for ids, offsets in _encoded(encoder, texts):
+                yield pa.StructArray.from_arrays([_lists(ids, offsets), _decoded(encoder.vocabulary, ids, offsets)], fields=[pa.field(*k) for k in kinds])
+
+    return both.asNondeterministic()(text)

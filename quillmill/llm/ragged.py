@@ -14,7 +14,8 @@ def gather(pool: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndar
     """pool[s : s + n] for each start and length, one after another."""
     ends = np.cumsum(lengths)
     total = int(ends[-1]) if len(ends) else 0
-    return pool[np.arange(total) + np.repeat(starts - (ends - lengths), lengths)]
+    kind = np.int32 if max(total, len(pool)) < 1 << 31 else np.int64
+    return pool[np.arange(total, dtype=kind) + np.repeat((starts - (ends - lengths)).astype(kind), lengths)]
 
 
 def offsets_of(lengths: np.ndarray) -> np.ndarray:
