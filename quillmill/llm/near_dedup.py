@@ -21,7 +21,8 @@ r"""Near-duplicates through an LSH forest over MinHash signatures.
 
 Defined cases: null, empty and wordless texts have an empty set, n_shingles 0, and are
 linked with nothing; rows that share an id are one node; a null id has a null
-component; an empty table gives an empty table; other columns are ignored.
+component; a text may be of any length (a worker holds the whole text and its set); an
+empty table gives an empty table; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -36,8 +37,8 @@ from pyspark.sql import functions as F
 
 from quillmill.llm.components import connected_components
 from quillmill.llm.ragged import chunks_by_size, offsets_of, worker
-from quillmill.llm.spans import IS_SPACE, hash_spans, mix
-from quillmill.session import cut_lineage, maybe_broadcast
+from quillmill.llm.spans import IS_SPACE, ROOTS, hash_spans, mix
+from quillmill.session import bound_arrow_batches, cut_lineage, maybe_broadcast
 
 SHINGLE = 5
 TREES, FIRST_DEPTH, DEPTH = 22, 3, 5
@@ -66,7 +67,8 @@ def shingle_sets(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     word = ~IS_SPACE[data]
     edges = np.flatnonzero(np.diff(np.concatenate(([False], word)).astype(np.int8)))  # starts and ends take turns
     starts, ends = edges[0::2], edges[1::2]
-    words = hash_spans(data, starts, ends)
+    # words beyond 64 bytes are known by blake2b, others by two independent sums
+    words = hash_spans(data, starts, ends, ROOTS[0], 64) ^ mix(hash_spans(data, starts, ends, ROOTS[1], 64))
     first = np.searchsorted(starts, offsets_of(lengths))  # first word of each text
     counts = np.diff(first)
 
@@ -91,6 +93,14 @@ def shingle_sets(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return out[fresh], offsets_of(fresh)[offsets] if len(out) else offsets
 
 
+def all_sets(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """shingle_sets() of more texts than are held at once, CHUNK bytes after CHUNK bytes."""
+    parts = [shingle_sets(texts[i:j]) for i, j in chunks_by_size([len(t) for t in texts], CHUNK)]
+    if not parts:
+        return np.zeros(0, np.uint64), np.zeros(1, np.int64)
+    return np.concatenate([flat for flat, _ in parts]), offsets_of(np.concatenate([np.diff(o) for _, o in parts]))
+
+
 def minhash(flat: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """uint32 signatures (sets x SLOTS) of sets that are not empty."""
     high = (flat >> np.uint64(32)).astype(np.uint32)
@@ -236,7 +246,7 @@ def _confirm(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.R
         """Rows (grp, rep, k1, text) by grp -> edges (a, b) from the least class to the others it is linked with."""
         for table in _whole_groups(batches, 8_000_000):
             group, rep = table.column("grp").to_numpy(), table.column("rep").to_numpy()
-            flat, offsets = shingle_sets([(t or "").encode() for t in table.column("text").to_pylist()])
+            flat, offsets = all_sets([(t or "").encode() for t in table.column("text").to_pylist()])
             # of rows that share an id, those whose set is the one that was signed
             mine = _set_keys(flat, offsets)[0] == table.column("k1").to_numpy()
             heads = np.append(np.flatnonzero(np.append(True, group[1:] != group[:-1])), len(group))
@@ -376,6 +386,7 @@ def _chains(classes: DataFrame) -> DataFrame:
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75) -> DataFrame:
     """id, n_shingles, component_id, kept: a row for each row."""
+    bound_arrow_batches(docs.sparkSession)
     signed = cut_lineage(docs.select(F.col(id_col).cast("long"), text_col).mapInArrow(_sign, _SIGNED))
     # equal sets are one class, named by its least id; the copies of a set meet map-side first
     classes = cut_lineage(
