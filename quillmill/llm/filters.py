@@ -41,16 +41,18 @@ def keep_identified(docs: DataFrame) -> DataFrame:
 def keep_exact(docs: DataFrame) -> DataFrame:
     """One document of each group of equal texts."""
     groups = exact_dedup.exact_groups(docs)
-    digest = exact_dedup.sha256_hex(exact_dedup.normalised(F.col("text")))
-    left = _without(docs, [F.col("doc_id"), digest], groups.filter("not kept").select("doc_id", "digest"))
-    repeated = cut_lineage(groups.filter("kept").groupBy("digest").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("digest"))
+    left = _without(docs, [exact_dedup.row_key()], groups.filter("not kept").select("row_key").distinct())
+    kept = groups.filter("kept").select("digest", "row_key")
+    several = kept.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("digest")
+    repeated = cut_lineage(kept.join(maybe_broadcast(cut_lineage(several)), "digest", "left_semi").distinct())
     if repeated.isEmpty():
         return left
-    # rows that share even the id: one of them stays
-    own = _own("digest")
-    marked = left.withColumn(own, digest)
-    again = repeated.toDF(own)
-    return marked.join(again, own, "left_anti").unionByName(marked.join(again, own, "left_semi").dropDuplicates([own])).drop(own)
+    # rows that share even the id: the longest of them stays
+    key, digest, row = _own("key"), _own("digest"), _own("row")
+    marked = left.withColumn(key, exact_dedup.row_key()).join(maybe_broadcast(repeated.toDF(digest, key)), key, "left")
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    one = marked.filter(F.col(digest).isNotNull()).groupBy(digest).agg(F.max_by(whole, F.struct(F.length("text"), "text")).alias(row)).select(f"{row}.*")
+    return marked.filter(F.col(digest).isNull()).select(whole.alias(row)).select(f"{row}.*").unionByName(one)
 
 
 def keep_near(docs: DataFrame) -> DataFrame:
@@ -62,4 +64,4 @@ def keep_near(docs: DataFrame) -> DataFrame:
 def keep_uncontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Documents without any window of a benchmark item."""
     found = decontaminate.find_contamination(docs, benchmark)
-    return _without(docs, [F.col("doc_id"), F.hash("text")], found.filter("n_hit > 0").select("doc_id", "text_hash").distinct())
+    return _without(docs, [decontaminate.document_key()], found.filter("n_hit > 0").select("document_key").distinct())
