@@ -5,13 +5,21 @@ with a least length) are candidate strings: a window slides over each and its Sh
 entropy is kept up to date from counts, one character in and one out a step. In
 whole numbers, S = sum f(count) with f(c) = round(2**20 * c * log2(c)) changes by
 two differences of f a step, and the entropy is log2(W) - S / (W * 2**20); nothing is
-summed anew and nothing drifts. A candidate whose best window reaches the class's
-threshold is a span, unless an allow pattern matches it or a base span overlaps it.
+summed anew and nothing drifts. The counts are packed, five bits each, into a few longs,
+so a step costs the same whatever the alphabet. A candidate whose best window reaches
+the class's threshold is a span, unless an allow pattern matches it or a base span
+overlaps it.
+
+Positions are running sums of the lengths of matches and of the texts between them, by
+doubling: round k adds what stands 2**k places before, so n matches take log2(n)
+rounds. Overlaps with base spans are found by binary search. The work of a text is
+its length plus n * log(n).
 
 Spans are code points, end exclusive.
 
 Defined cases: a null text is empty and has no spans; repeated rows give repeated
-results; an empty table gives an empty table; other columns are ignored.
+results; a text may be of any length; an empty table gives an empty table; other
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -58,94 +66,147 @@ class CharClass:
 
 _DIGITS, _LOWER = "0123456789", "abcdefghijklmnopqrstuvwxyz"
 CLASSES = (
-    CharClass("entropy_mixed", _DIGITS + _LOWER + _LOWER.upper() + "+/_=-", 24, 20, 3.83, ("[0-9]", "[a-z]", "[A-Z]")),
-    CharClass("entropy_hex", _DIGITS + "ABCDEF", 24, 20, 3.03, ("[0-9]", "[A-F]")),
+    CharClass("entropy_mixed", _DIGITS + _LOWER + _LOWER.upper() + "+/_=-", 20, 20, 3.83, ("[0-9]", "[a-z]", "[A-Z]")),
+    CharClass("entropy_hex", _DIGITS + "ABCDEF", 20, 20, 3.03, ("[0-9]", "[A-F]")),
+    CharClass("entropy_lower", _DIGITS + _LOWER, 20, 20, 3.6, ("[0-9].*[0-9]", "[g-z]")),
+    CharClass("entropy_upper", _DIGITS + _LOWER.upper(), 20, 20, 3.6, ("[0-9].*[0-9]", "[G-Z]")),
 )
 #: Candidates that match one of these are not reported.
 ALLOW = ("(?i)example", "(?i)placeholder", "0123456789", "(?i)abcdefgh")
 
 
-def _spans(text: Column, kind: str, pattern: str, group: int, least: int) -> Column:
-    """array of (start, end, kind) of the kept matches: texts between matches and matches add up to positions."""
-    whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    kept = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(group)), F.length)
-    gaps = F.transform(F.split(text, pattern, -1), F.length)
-    pieces = F.arrays_zip(F.transform(whole, F.length).alias("size"), kept.alias("kept"), F.slice(gaps, F.lit(1), F.size(whole)).alias("gap"))
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,kind:string>>").alias("out"))
+_FOUND = "array<struct<start:int,end:int,kind:string,match:string>>"
+
+
+def _left(value: Column, bits: Column) -> Column:
+    return F.call_function("shiftleft", value, bits)
+
+
+def _right(value: Column, bits: Column) -> Column:
+    return F.call_function("shiftright", value, bits)
 
-    def step(acc: Column, p: Column) -> Column:
-        start = acc["at"] + p["gap"]
-        end = start + p["size"]
-        span = F.struct(start.alias("start"), end.alias("end"), F.lit(kind).alias("kind"))
-        return F.struct(end.alias("at"), F.when(p["kept"] >= least, F.array_append(acc["out"], span)).otherwise(acc["out"]).alias("out"))
 
-    return F.aggregate(pieces, zero, step, lambda acc: acc["out"])
+def running_sums(sizes: Column) -> Column:
+    """The sums of an array's first one, two, ... numbers, in log2(n) rounds."""
+    rounds = F.filter(F.sequence(F.lit(0), F.lit(30)), lambda k: _left(F.lit(1), k) < F.size(sizes))
+    return F.aggregate(
+        rounds, sizes, lambda sums, k: F.transform(sums, lambda x, i: x + F.coalesce(F.get(sums, i - _left(F.lit(1), k)), F.lit(0)))
+    )
+
+
+def _spans(text: Column, kind: str, pattern: str, group: int, least: int) -> Column:
+    """array of (start, end, kind, match) of the kept matches: texts between matches and matches add up to positions."""
+
+    def placed(m: Column) -> Column:
+        """m: the matches, the lengths of their groups, and the texts between them."""
+        sizes = F.transform(m["whole"], F.length)
+        ends = running_sums(F.zip_with(sizes, F.slice(m["gaps"], F.lit(1), F.size(sizes)), lambda a, b: a + F.length(b)))
+        rows = F.zip_with(
+            F.arrays_zip(m["whole"].alias("match"), m["kept"].alias("kept")), ends,
+            lambda x, end: F.struct((end - F.length(x["match"])).alias("start"), end.alias("end"), F.lit(kind).alias("kind"), x["match"].alias("match"), x["kept"].alias("kept")),
+        )
+        return F.transform(
+            F.filter(rows, lambda r: r["kept"] >= least), lambda r: F.struct(r["start"].alias("start"), r["end"].alias("end"), r["kind"].alias("kind"), r["match"].alias("match"))
+        )
+
+    whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    kept = whole if group == 0 else F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
+    made = F.struct(whole.alias("whole"), F.transform(kept, F.length).alias("kept"), F.split(text, pattern, -1).alias("gaps"))
+    # an array of one struct names the parts, so that each is computed once
+    return F.transform(F.array(made), placed)[0]
 
 
 def base_spans(text: Column, kind: str) -> Column:
     pattern, group, least = next(p[1:] for p in BASE_PATTERNS if p[0] == kind)
-    none = F.array().cast("array<struct<start:int,end:int,kind:string>>")
-    return F.when(text.rlike(_CAN_MATCH[kind]), _spans(text, kind, pattern, group, least)).otherwise(none)
+    return F.when(text.rlike(_CAN_MATCH[kind]), _spans(text, kind, pattern, group, least)).otherwise(F.array().cast(_FOUND))
+
+
+#: Bits of a packed count, and counts in a long.
+_BITS, _PER_LONG = 5, 12
 
 
 def least_window_sum(candidate: Column, cls: CharClass) -> Column:
     """The least S over all windows of the candidate, by incremental counts."""
+    if cls.window >= 1 << _BITS:
+        raise ValueError(f"a window has less than {1 << _BITS} characters")
     f = [0] + [round(_SCALE * c * math.log2(c)) for c in range(1, cls.window + 2)]
-    table = F.array(*[F.lit(x).cast("long") for x in f])
-    ids = F.transform(F.split(candidate, ""), lambda c: F.call_function("instr", F.lit(cls.alphabet), c) - 1)
-    none = F.lit(None).cast("long")
+    grows = F.array(*[F.lit(b - a).cast("long") for a, b in zip(f[:-1], f[1:], strict=True)])  # from a count to one more
+    # where a character's count is: its long in the upper bits, its first bit in the lower six
+    places = F.array(*[F.lit(i // _PER_LONG << 6 | i % _PER_LONG * _BITS) for i in range(len(cls.alphabet))])
+    ids = F.transform(F.split(candidate, ""), lambda c: F.get(places, F.call_function("instr", F.lit(cls.alphabet), c) - 1))
+    longs = -(-len(cls.alphabet) // _PER_LONG)
+    zero, none = F.lit(0).cast("long"), F.lit(None).cast("long")
+    bit = lambda i: i.bitwiseAND(63)
+
+    def count(words: Column, i: Column) -> Column:
+        return _right(F.get(words, _right(i, F.lit(6))), bit(i)).bitwiseAND(31).cast("int")
 
     def step(acc: Column, at: Column) -> Column:
         new = F.get(acc["ids"], at)
         old = F.when(at >= cls.window, F.get(acc["ids"], at - cls.window)).otherwise(F.lit(-1))
-        n_in = F.get(acc["counts"], new)
-        n_out = F.get(acc["counts"], old)  # NULL before the window is full
-        moved = F.when(
-            (old >= 0) & (old != new),
-            F.get(table, n_in + 1) - F.get(table, n_in) + F.get(table, n_out - 1) - F.get(table, n_out),
-        ).when(old < 0, F.get(table, n_in + 1) - F.get(table, n_in)).otherwise(F.lit(0).cast("long"))
+        gone = F.when(old >= 0, F.get(grows, count(acc["words"], old) - 1)).otherwise(zero)
+        moved = F.when(old == new, zero).otherwise(F.get(grows, count(acc["words"], new)) - gone)
         total = acc["total"] + moved
-        counts = F.transform(acc["counts"], lambda c, i: c + (i == new).cast("int") - (i == old).cast("int"))
+        one = lambda i, k: F.when(_right(i, F.lit(6)) == k, _left(F.lit(1).cast("long"), bit(i))).otherwise(zero)
+        words = F.array(*[acc["words"][k] + one(new, k) - one(old, k) for k in range(longs)])
         best = F.when(at >= cls.window - 1, F.least(acc["best"], total)).otherwise(acc["best"])
-        return F.struct(acc["ids"].alias("ids"), counts.alias("counts"), total.alias("total"), best.alias("best"))
+        return F.struct(acc["ids"].alias("ids"), words.alias("words"), total.alias("total"), best.alias("best"))
 
-    zero = F.struct(
-        ids.alias("ids"), F.array_repeat(F.lit(0), len(cls.alphabet)).alias("counts"), F.lit(0).cast("long").alias("total"), none.alias("best")
-    )
-    return F.aggregate(F.sequence(F.lit(0), F.length(candidate) - 1), zero, step, lambda acc: acc["best"])
+    begin = F.struct(ids.alias("ids"), F.array(*[zero] * longs).alias("words"), zero.alias("total"), none.alias("best"))
+    return F.aggregate(F.sequence(F.lit(0), F.length(candidate) - 1), begin, step, lambda acc: acc["best"])
 
 
-def entropy_spans(text: Column, cls: CharClass, base: Column) -> Column:
-    none = F.array().cast("array<struct<start:int,end:int,kind:string>>")
+def _overlaps(spans: Column, start: Column, end: Column) -> Column:
+    """True if one of the spans (of one kind, in order) overlaps: the last that begins before `end` ends behind `start`."""
+    bounds = F.struct(F.lit(0).alias("low"), F.size(spans).alias("high"))  # how many begin before `end`
+
+    def halve(b: Column, _: Column) -> Column:
+        middle = F.floor((b["low"] + b["high"]) / 2).cast("int")
+        before = F.get(spans, middle)["start"] < end
+        open_ = b["low"] < b["high"]
+        return F.struct(
+            F.when(open_ & before, middle + 1).otherwise(b["low"]).alias("low"), F.when(open_ & ~before, middle).otherwise(b["high"]).alias("high")
+        )
+
+    rounds = F.filter(F.sequence(F.lit(0), F.lit(30)), lambda k: _left(F.lit(1), k) <= F.size(spans))
+    return F.aggregate(rounds, bounds, halve, lambda b: F.coalesce(F.get(spans, b["low"] - 1)["end"] > start, F.lit(False)))
+
+
+def entropy_spans(text: Column, cls: CharClass, bases: list[Column]) -> Column:
+    """The class's candidates of high entropy; bases: the base spans of each kind."""
 
     def suspicious(s: Column) -> Column:
-        string = F.substring(text, s["start"] + 1, s["end"] - s["start"])
-        ok = ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
+        ok = F.lit(True)
         for pattern in cls.must:
-            ok = ok & string.rlike(pattern)
+            ok = ok & s["match"].rlike(pattern)
         for pattern in ALLOW:
-            ok = ok & ~string.rlike(pattern)
-        return F.when(ok, least_window_sum(string, cls) <= cls.most).otherwise(F.lit(False))
+            ok = ok & ~s["match"].rlike(pattern)
+        for spans in bases:
+            ok = ok & ~_overlaps(spans, s["start"], s["end"])
+        return F.when(ok, least_window_sum(s["match"], cls) <= cls.most).otherwise(F.lit(False))
 
     runs = _spans(text, cls.name, cls.pattern, 0, cls.least)
-    return F.when(text.rlike(cls.pattern), F.filter(runs, suspicious)).otherwise(none)
+    return F.when(text.rlike(cls.pattern), F.filter(runs, suspicious)).otherwise(F.array().cast(_FOUND))
 
 
-def scan_secrets(docs: DataFrame, text_col: str = "text", classes: tuple[CharClass, ...] = CLASSES) -> DataFrame:
-    """All columns of docs, and base and spans: arrays of (start, end, kind) by start, then kind as listed."""
+def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", classes: tuple[CharClass, ...] = CLASSES) -> DataFrame:
+    """id, base and spans: arrays of (start, end, kind) by start, then kind as listed."""
     kinds = [p[0] for p in BASE_PATTERNS] + [c.name for c in classes]
-    rank = F.create_map(*[F.lit(x) for i, k in enumerate(kinds) for x in (k, i)])
 
-    def ordered(spans: Column) -> Column:
-        return F.array_sort(
-            spans,
-            lambda a, b: F.when(a["start"] != b["start"], a["start"] - b["start"]).otherwise(rank[a["kind"]] - rank[b["kind"]]),
-        )
+    def ranked(spans: Column, rank: int) -> Column:
+        return F.transform(spans, lambda s: F.struct(s["start"].alias("start"), F.lit(rank).alias("rank"), s["end"].alias("end")))
+
+    def ordered(found: list[Column]) -> Column:
+        names = F.array(*[F.lit(k) for k in kinds])
+        every = F.array_sort(F.concat(*[ranked(spans, i) for i, spans in enumerate(found)]))
+        return F.transform(every, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.get(names, s["rank"]).alias("kind")))
 
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    out = docs.withColumn("base", ordered(F.concat(*[base_spans(text, p[0]) for p in BASE_PATTERNS])))
-    more = [entropy_spans(text, c, F.col("base")) for c in classes]
-    return out.withColumn("spans", ordered(F.concat(F.col("base"), *more)))
+    text = F.col("_text")
+    rows = docs.select(F.col(id_col), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
+    based = rows.withColumns({f"_{p[0]}": base_spans(text, p[0]) for p in BASE_PATTERNS})
+    bases = [F.col(f"_{p[0]}") for p in BASE_PATTERNS]
+    every = based.withColumns({f"_{c.name}": entropy_spans(text, c, bases) for c in classes})
+    return every.select(id_col, ordered(bases).alias("base"), ordered(bases + [F.col(f"_{c.name}") for c in classes]).alias("spans"))
 
 
 def span_list(spans: Column) -> Column:
