@@ -4,15 +4,17 @@ A text is the mean of the embeddings of its byte n-grams, hashed into BUCKETS ro
 linear layer and a softmax give the languages' probabilities. Both are trained in
 numpy by stochastic gradient descent, on the driver, on a bounded sample of labelled
 rows. As the model is linear after the mean, prediction looks up one row of logits
-for each n-gram. A temperature, fitted on a fifth of the sample that is not trained on,
-calibrates the probabilities; a text is rejected if its probability is below what
-all but REJECTED of the rightly predicted texts of that fifth reach, or if it has no
-letter.
+for each n-gram. A temperature calibrates the probabilities on the part of the sample
+that is not trained on: texts of a known language should get high ones, the same texts
+with their bytes shuffled even ones. A text is rejected if its probability is
+below what all but REJECTED of the rightly predicted texts of that part reach, or if it
+has no letter.
 
 Defined cases: null texts and texts without a letter are `und`, score 0, rejected;
 without labelled rows every text is `und`, score 0, and only those without a letter
 are rejected; repeated rows give repeated results; a text may be of any length; an
-empty table gives an empty table; other columns pass through.
+empty table gives an empty table; other columns pass through. Of a text longer than
+TRAIN_CHARS the middle is learned from; predictions read whole texts.
 """
 
 from __future__ import annotations
@@ -29,15 +31,18 @@ from pyspark.sql import functions as F
 
 from quillmill.llm.ragged import chunks_by_size, offsets_of, worker
 
-#: The training sample: at most so many rows, each of at most so many bytes.
-TRAIN_ROWS, TRAIN_BYTES = 4_000, 20_000
+#: The labelled sample: at most so many rows to train on, so many to calibrate on, and of
+#: each at most so many characters.
+TRAIN_ROWS, HELD_ROWS, TRAIN_CHARS = 4_000, 2_000, 4_000
 BUCKETS, DIM, ORDERS = 1 << 16, 16, (2, 3, 4)
 EPOCHS, RATE = 4, 10.0
 #: Share of rightly predicted texts that calibrated rejection may lose.
 REJECTED = 0.0005
+#: What the shuffled texts count against the others when the temperature is chosen.
+SHUFFLED_WEIGHT = 0.1
 UNKNOWN = "und"
 CHUNK = 400_000
-_GAP = b" " * (max(ORDERS) - 1)  # no n-gram reaches from one text into the next
+_GAP = b" " * (max(ORDERS) - 1)
 
 #: Bytes: letters lowered, ASCII that is no letter a space, others as they are.
 _FOLD = np.arange(256, dtype=np.uint8)
@@ -49,20 +54,24 @@ def has_letter(text: str) -> bool:
     return bool(_ASCII_LETTER.search(text)) or any(c.isalpha() for c in text)
 
 
-def ngram_buckets(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets of the n-grams that begin at each byte (bytes x orders), and the texts' offsets."""
-    data = _FOLD[np.frombuffer(_GAP.join(texts) + _GAP, np.uint8)].astype(np.uint32)
+def ngram_buckets(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Buckets of the n-grams that begin at each byte (bytes x orders), and where each text's begin and end.
+
+    A text's first n-gram begins with a space before it, its last ones end in spaces
+    behind it: none reaches into another text.
+    """
+    data = _FOLD[np.frombuffer(_GAP + b"".join(t + _GAP for t in texts) + b" ", np.uint8)].astype(np.uint32)
     n = len(data) - max(ORDERS) + 1
-    out = np.empty((max(n, 0), len(ORDERS)), np.int64)
-    acc = np.zeros(max(n, 0), np.uint32)
+    out = np.empty((n, len(ORDERS)), np.int64)
+    acc = np.zeros(n, np.uint32)
     for k in range(max(ORDERS)):
-        acc = (acc + data[k : k + len(acc)] + np.uint32(1)) * np.uint32(0x9E3779B1)
+        acc = (acc + data[k : k + n] + np.uint32(1)) * np.uint32(0x9E3779B1)
         acc ^= acc >> np.uint32(15)
         if k + 1 in ORDERS:
             out[:, ORDERS.index(k + 1)] = (acc + np.uint32(k)) * np.uint32(0x85EBCA6B) >> np.uint32(32 - 16)
-    lengths = np.array([len(t) + len(_GAP) for t in texts], np.int64)
-    offsets = offsets_of(lengths)
-    return out, np.minimum(offsets, len(out))
+    lengths = np.array([len(t) for t in texts], np.int64)
+    starts = offsets_of(lengths + len(_GAP))[:-1] + len(_GAP) - 1
+    return out, starts, starts + lengths + 1
 
 
 @dataclass
@@ -73,14 +82,12 @@ class LanguageModel:
     threshold: float
 
     def probabilities(self, texts: list[bytes]) -> np.ndarray:
-        buckets, offsets = ngram_buckets(texts)
+        buckets, starts, ends = ngram_buckets(texts)
         total = np.zeros((len(texts), len(self.languages)), np.float64)
-        sizes = np.diff(offsets)
+        edges = np.column_stack((starts, ends)).reshape(-1)  # every other stretch is a text
         for order in range(len(ORDERS)):
-            if len(buckets):
-                full = sizes > 0
-                total[full] += np.add.reduceat(self.logits[buckets[:, order]], offsets[:-1][full], axis=0)
-        return softmax(total / np.maximum(sizes, 1)[:, None] / len(ORDERS) / self.temperature)
+            total += np.add.reduceat(self.logits[buckets[:, order]], edges, axis=0)[::2]
+        return softmax(total / (ends - starts)[:, None] / len(ORDERS) / self.temperature)
 
 
 def softmax(z: np.ndarray) -> np.ndarray:
@@ -88,57 +95,83 @@ def softmax(z: np.ndarray) -> np.ndarray:
     return z / z.sum(axis=1, keepdims=True)
 
 
+def _bag(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct buckets of a text's n-grams and their shares."""
+    buckets, starts, ends = ngram_buckets([text])
+    ids, counts = np.unique(buckets[starts[0] : ends[0]], return_counts=True)
+    return ids, (counts / counts.sum()).astype(np.float32)
+
+
+def sgd_step(embed: np.ndarray, linear: np.ndarray, ids: np.ndarray, weights: np.ndarray, y: int, rate: float) -> None:
+    """One step down the gradient of the cross entropy of one text, in place; the linear layer moves a twentieth as fast."""
+    rows = embed[ids]
+    mean = weights @ rows
+    error = softmax((mean @ linear)[None])[0]
+    error[y] -= 1
+    back = linear @ error
+    linear -= np.float32(rate * 0.05) * np.outer(mean, error)
+    embed[ids] = rows - np.float32(rate) * weights[:, None] * back
+
+
+def calibrate(z: np.ndarray, y: np.ndarray, shuffled: np.ndarray) -> tuple[float, float]:
+    """Temperature and rejection threshold: z are logits of texts of classes y, shuffled those of texts of none.
+
+    Fewer than 1 / REJECTED rightly predicted texts do not show the quantile: the
+    threshold then lies nearer to an even probability, in proportion.
+    """
+    grid = np.geomspace(0.002, 5, 100)
+    right = [-np.log(softmax(z / t)[np.arange(len(y)), y] + 1e-12).mean() for t in grid]
+    even = [-np.log(softmax(shuffled / t) + 1e-12).mean() for t in grid]
+    temperature = float(grid[int(np.argmin(np.array(right) + SHUFFLED_WEIGHT * np.array(even)))])
+    p = softmax(z / temperature)
+    reached = p.max(axis=1)[p.argmax(axis=1) == y]
+    if not len(reached):
+        return temperature, 0.0
+    even_share = 1 / z.shape[1]
+    return temperature, float(even_share + (np.quantile(reached, REJECTED) - even_share) * min(1.0, len(reached) * REJECTED))
+
+
 def fit(rows: list[tuple[str, str]], seed: int = 7) -> LanguageModel | None:
-    """rows: (text, language)."""
+    """rows: (text, language). A fifth, and what is beyond TRAIN_ROWS, calibrates (at most HELD_ROWS)."""
     languages = sorted({lang for _, lang in rows})
     if not languages:
         return None
     rng = np.random.default_rng(seed)
-    bags = []
-    for text, lang in rows:
-        ids, counts = np.unique(ngram_buckets([text.encode()])[0], return_counts=True)
-        bags.append((ids, (counts / counts.sum()).astype(np.float32), languages.index(lang)))
-    held = [i for i in range(len(bags)) if i % 5 == 4]
-    train = [i for i in range(len(bags)) if i % 5 != 4]
+    train = [i for i in range(len(rows)) if i % 5 != 4][:TRAIN_ROWS]
+    chosen = set(train)
+    held = [i for i in range(len(rows)) if i not in chosen][:HELD_ROWS]
+    bags = {i: _bag(rows[i][0].encode()) for i in train}
     embed = rng.uniform(-1 / DIM, 1 / DIM, (BUCKETS, DIM)).astype(np.float32)
     linear = np.zeros((DIM, len(languages)), np.float32)
     steps, step = EPOCHS * max(1, len(train)), 0
     for _ in range(EPOCHS):
         for i in rng.permutation(train):
-            ids, weights, y = bags[i]
-            rate = np.float32(RATE * (1 - step / steps))
+            sgd_step(embed, linear, *bags[i], languages.index(rows[i][1]), RATE * (1 - step / steps))
             step += 1
-            rows_of = embed[ids]
-            mean = weights @ rows_of
-            p = softmax((mean @ linear)[None])[0]
-            p[y] -= 1
-            back = linear @ p
-            linear -= np.float32(rate * 0.05) * np.outer(mean, p)
-            embed[ids] = rows_of - rate * weights[:, None] * back
     model = LanguageModel(languages, embed @ linear, 1.0, 0.0)
     if held:
-        z = np.array([bags[i][1] @ model.logits[bags[i][0]] for i in held])
-        y = np.array([bags[i][2] for i in held])
-        grid = np.geomspace(0.002, 5, 100)
-        loss = [-np.log(softmax(z / t)[np.arange(len(y)), y] + 1e-12).mean() for t in grid]
-        model.temperature = float(grid[int(np.argmin(loss))])
-        p = softmax(z / model.temperature)
-        right = p.max(axis=1)[p.argmax(axis=1) == y]
-        if len(right):
-            model.threshold = float(min(0.5, np.quantile(right, REJECTED)))
+        logits = lambda bag: bag[1] @ model.logits[bag[0]]
+        z = np.array([logits(_bag(rows[i][0].encode())) for i in held])
+        shuffled = np.array([logits(_bag(bytes(rng.permutation(np.frombuffer(rows[i][0].encode(), np.uint8))))) for i in held])
+        model.temperature, model.threshold = calibrate(z, np.array([languages.index(rows[i][1]) for i in held]), shuffled)
     return model
 
 
 def training_rows(docs: DataFrame, usable: Column, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id") -> list[tuple[str, str]]:
-    """At most TRAIN_ROWS labelled rows, those of the least hash; the hashes are read first, then their texts."""
-    rows = docs.filter(usable & F.col(lang_col).isNotNull() & (F.octet_length(text_col) <= TRAIN_BYTES)).select(
-        F.xxhash64(id_col, text_col).alias("h"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")
+    """At most TRAIN_ROWS + HELD_ROWS labelled rows, those of the least hash; the hashes are read first, then their texts.
+
+    Rows equal in id, text and label count once; of a long text the middle is taken.
+    """
+    length = F.length(text_col)
+    middle = F.when(length > TRAIN_CHARS, F.substring(F.col(text_col), F.floor((length - TRAIN_CHARS) / 2).cast("int") + 1, F.lit(TRAIN_CHARS))).otherwise(F.col(text_col))
+    rows = docs.filter(usable & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
+        F.xxhash64(id_col, text_col).alias("h"), middle.alias("text"), F.col(lang_col).alias("lang")
     )
-    cut = rows.select("h").orderBy("h").limit(TRAIN_ROWS).agg(F.max("h")).first()[0]
+    cut = rows.select("h").orderBy("h").limit(TRAIN_ROWS + HELD_ROWS).agg(F.max("h")).first()[0]
     if cut is None:
         return []
-    found = rows.filter(F.col("h") <= cut).limit(2 * TRAIN_ROWS).collect()  # more than TRAIN_ROWS only for equal rows
-    return [(r["text"], r["lang"]) for r in sorted(found, key=lambda r: (r["h"], r["lang"]))[:TRAIN_ROWS] if has_letter(r["text"])]
+    found = rows.filter(F.col("h") <= cut).dropDuplicates(["h", "lang"]).collect()  # a row for each of the hashes and labels
+    return [(r["text"], r["lang"]) for r in sorted(found, key=lambda r: (r["h"], r["lang"]))[: TRAIN_ROWS + HELD_ROWS] if has_letter(r["text"])]
 
 
 _RESULT = pa.struct([("lang", pa.string()), ("score", pa.float64()), ("rejected", pa.bool_())])

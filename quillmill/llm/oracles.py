@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from quillmill.llm import secrets
-
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 _CHAT = r"""
@@ -83,12 +81,56 @@ hits AS (
 ), named AS (
   SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
   FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY doc_id
+),
+-- proximity: the two rarest terms of each window that occur, within five positions of their places
+it AS (SELECT item_id, len(ws) AS size, least(10, len(ws)) AS width, unnest(ws) AS term, unnest(generate_series(0, len(ws) - 1)) AS p FROM iw WHERE len(ws) > 0),
+dt AS (
+  SELECT * FROM (SELECT doc_id, unnest(ws) AS term, unnest(generate_series(0, len(ws) - 1)) AS pos FROM dw WHERE len(ws) > 0)
+  WHERE term IN (SELECT term FROM it)
+),
+df AS (SELECT term, count(*) AS df FROM dt GROUP BY term),
+ranked AS (
+  SELECT item_id, s, term, p, row_number() OVER (PARTITION BY item_id, s ORDER BY df, p) AS r
+  FROM (SELECT item_id, term, p, unnest(generate_series(greatest(p - width + 1, 0), least(p, size - width))) AS s FROM it) JOIN df USING (term)
+),
+probes AS (
+  SELECT DISTINCT a.item_id, a.term AS t1, a.p AS p1, coalesce(b.term, a.term) AS t2, coalesce(b.p, a.p) AS p2
+  FROM (SELECT * FROM ranked WHERE r = 1) a LEFT JOIN (SELECT * FROM ranked WHERE r = 2) b ON a.item_id = b.item_id AND a.s = b.s
+),
+met AS (
+  SELECT DISTINCT x.doc_id, item_id, x.pos - p1 AS delta, y.pos = x.pos - p1 + p2 AS exact
+  FROM probes JOIN dt x ON x.term = t1 JOIN dt y ON y.doc_id = x.doc_id AND y.term = t2 AND abs(y.pos - (x.pos - p1 + p2)) <= 5
+),
+near AS (SELECT doc_id, count(DISTINCT item_id) AS n_near_items FROM met GROUP BY doc_id),
+best AS (
+  SELECT doc_id, max(m * 10000 // size) AS best_match_bp
+  FROM (SELECT met.doc_id, met.item_id, delta, any_value(size) AS size, count(*) AS m
+        FROM met JOIN it ON it.item_id = met.item_id JOIN dt ON dt.doc_id = met.doc_id AND dt.term = it.term AND dt.pos = delta + it.p
+        WHERE exact GROUP BY ALL)
+  GROUP BY doc_id
 )
 SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
-       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
-FROM dw LEFT JOIN hits USING (doc_id) LEFT JOIN named USING (doc_id)
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated,
+       coalesce(n_near_items, 0) AS n_near_items, coalesce(best_match_bp, 0) AS best_match_bp
+FROM dw LEFT JOIN hits USING (doc_id) LEFT JOIN named USING (doc_id) LEFT JOIN near USING (doc_id) LEFT JOIN best USING (doc_id)
 """
 
+#: Fixed values of op6: kind, pattern, group whose length counts, least length; written out
+#: here again, so that a wrong constant of the operator shows.
+_BASE = (
+    ("assign", r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 12),
+    ("access", "AKIA[A-Z0-9]+", 0, 18),
+    ("hex", "[0-9a-f]+", 0, 16),
+)
+#: kind, pattern, bits of the best window of 20, patterns that have to match.
+_ENTROPY = (
+    ("entropy_mixed", r"[0-9a-zA-Z+/_=\-]{20,}", 3.83, ("[0-9]", "[a-z]", "[A-Z]")),
+    ("entropy_hex", "[0-9A-F]{20,}", 3.03, ("[0-9]", "[A-F]")),
+    ("entropy_lower", "[0-9a-z]{20,}", 3.6, ("[0-9].*[0-9]", "[g-z]")),
+    ("entropy_upper", "[0-9A-Z]{20,}", 3.6, ("[0-9].*[0-9]", "[G-Z]")),
+)
+_ALLOWED = ("(?i)example", "(?i)placeholder", "0123456789", "(?i)abcdefgh")
+
 
 def _secrets_sql() -> str:
     """One branch a kind: matches and the texts between them add up to positions."""
@@ -112,14 +154,14 @@ def _secrets_sql() -> str:
     )
   ) WHERE length(k) >= {least}"""
 
-    base = " UNION ALL ".join(branch(k, i, p, g, n) for i, (k, p, g, n) in enumerate(secrets.BASE_PATTERNS))
+    base = " UNION ALL ".join(branch(k, i, p, g, n) for i, (k, p, g, n) in enumerate(_BASE))
     more = []
-    for i, c in enumerate(secrets.CLASSES, len(secrets.BASE_PATTERNS)):
-        must = "".join(f" AND regexp_matches(m, '{p}')" for p in c.must)
-        allow = "".join(f" AND NOT regexp_matches(m, {quoted(p)})" for p in secrets.ALLOW)
-        best = f"list_max([list_entropy(string_split(m[j:j + {c.window - 1}], '')) for j in generate_series(1, length(m) - {c.window - 1})])"
+    for i, (kind, pattern, bits, musts) in enumerate(_ENTROPY, len(_BASE)):
+        must = "".join(f" AND regexp_matches(m, '{p}')" for p in musts)
+        allow = "".join(f" AND NOT regexp_matches(m, {quoted(p)})" for p in _ALLOWED)
+        best = "list_max([list_entropy(string_split(m[j:j + 19], '')) for j in generate_series(1, length(m) - 19)])"
         more.append(
-            f"SELECT * FROM ({branch(c.name, i, c.pattern, 0, c.least)}) c WHERE {best} >= {c.bits}{must}{allow} AND NOT EXISTS "
+            f"SELECT * FROM ({branch(kind, i, pattern, 0, 20)}) c WHERE {best} >= {bits}{must}{allow} AND NOT EXISTS "
             "(SELECT 1 FROM base b WHERE b.doc_id = c.doc_id AND b.start < c.stop AND c.start < b.stop)"
         )
     return rf"""

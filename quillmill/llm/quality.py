@@ -227,13 +227,22 @@ def score_column(stats: Column, model: Discriminant) -> Column:
 
 
 def training_sample(described: DataFrame, labels: DataFrame, usable: Column, id_col: str = "doc_id", label_col: str = "quality") -> tuple[np.ndarray, np.ndarray]:
-    """At most TRAIN_ROWS rows of (statistics, label), those of the least hash of the id."""
+    """At most TRAIN_ROWS rows of (statistics, label), those of the least hash of the id.
+
+    A document is labelled once, however often its label is repeated; one whose labels
+    differ, or are neither 0 nor 1, is not learned from. Rows of one id and equal
+    statistics are one.
+    """
+    label = labels.groupBy(F.col(id_col).alias("_id")).agg(F.min(label_col).alias("y"), F.max(label_col).alias("other"))
+    known = label.filter((F.col("y") == F.col("other")) & F.col("y").isin(0, 1))
     rows = (
         described.filter(usable)
-        .join(labels.filter(F.col(label_col).isin(0, 1)).select(id_col, F.col(label_col).alias("y")), id_col)
-        .select(F.xxhash64(id_col).alias("h"), "stats", "y")
-        .orderBy("h", "y")
+        .select(F.col(id_col).alias("_doc"), "stats")
+        .join(known, F.col("_doc") == F.col("_id"))
+        .select(F.xxhash64("_doc").alias("h"), "stats", "y")
+        .dropDuplicates()
+        .orderBy("h", "y", "stats")
         .limit(TRAIN_ROWS)
         .collect()
     )
-    return np.array([r["stats"] for r in rows]).reshape(len(rows), -1), np.array([r["y"] for r in rows], float)
+    return np.array([r["stats"] for r in rows], float).reshape(len(rows), -1 if rows else 0), np.array([r["y"] for r in rows], float)

@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillmill.session import cut_lineage, delete_path, new_shared_path
 from quillmill.llm import byte_bpe, chat_format, decontaminate, exact_dedup, language_id, near_dedup, quality, secrets, sharding, token_files
+from quillmill.session import bound_arrow_batches, cut_lineage, delete_path, new_shared_path
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,6 +39,7 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bound_arrow_batches(spark)
     docs = _table(spark, sf_dir, "documents")
     model = language_id.fit(language_id.training_rows(docs, language_id.not_held_out()))
     return docs.select("doc_id", language_id.predict(F.col("text"), model).alias("found")).select(
@@ -55,6 +56,7 @@ def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bound_arrow_batches(spark)
     docs = _table(spark, sf_dir, "documents").select("doc_id", quality.statistics_column(F.col("text")).alias("stats"))
     described = cut_lineage(docs)
     x, y = quality.training_sample(described, _table(spark, sf_dir, "labels"), language_id.not_held_out())
@@ -73,11 +75,14 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
+        F.size("near_items").cast("long").alias("n_near_items"),
+        F.floor(F.col("best_match") * 10000 + 1e-6).cast("long").alias("best_match_bp"),
     )
 
 
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = secrets.scan_secrets(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = secrets.scan_secrets(_table(spark, sf_dir, "documents"))
+
     def count(kind: str) -> Column:
         return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
 
@@ -92,17 +97,18 @@ def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = exact_dedup.exact_groups(_table(spark, sf_dir, "documents"))
-    return groups.select("doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
+    return groups.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bound_arrow_batches(spark)
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    ids = _table(spark, sf_dir, "documents").select("doc_id", byte_bpe.encode_column(F.col("text"), path).alias("ids"))
-    return ids.select(
+    found = _table(spark, sf_dir, "documents").select("doc_id", byte_bpe.encode_decode_column(F.col("text"), path).alias("bpe"))
+    return found.select(
         "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
-        F.sha2(byte_bpe.decode_column(F.col("ids"), path), 256).alias("decoded_sha256"),
+        F.size("bpe.ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("bpe.ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("bpe.decoded", 256).alias("decoded_sha256"),
     )
 
 

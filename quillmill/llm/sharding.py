@@ -9,7 +9,7 @@ equal targets. Texts are read once and never shuffled.
 
 Defined cases: a null text has size 16 and crc32 0; a null id sorts first; rows
 that are equal in id, checksum and size share the order between them arbitrarily,
-so their results agree as a set; an empty table gives an empty table; other
+so their results agree as a set; a text may be of any length; an empty table gives an empty table; other
 columns are ignored. A row larger than a target can leave shards near it empty.
 """
 
@@ -66,7 +66,8 @@ def shard_by_bytes(docs: DataFrame, n_shards: int, id_col: str = "doc_id", text_
             (F.col("base_rows") + F.col("nth") - 1).alias("row"),
             "total_bytes",
         )
-        .withColumn("shard", F.expr(f"cast(((2 * start + size) * {n_shards}) div (2 * total_bytes) as int)"))
+        # decimals: twice the bytes times the shards can pass 64 bits
+        .withColumn("shard", F.expr(f"cast((cast(2 * start + size as decimal(20, 0)) * {n_shards}L) div cast(2 * total_bytes as decimal(20, 0)) as int)"))
     )
     placed = cut_lineage(placed)
     firsts = placed.groupBy("shard").agg(F.min("row").alias("first_row"))  # n_shards rows
