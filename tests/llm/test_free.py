@@ -1,6 +1,8 @@
 """Near-duplicates, tokenizers, language ID, quality and the pipeline."""
 
 import hashlib
+import io
+import math
 import os
 import random
 import re
@@ -115,6 +117,33 @@ def test_near_dedup_pair_in_large_regions(spark, monkeypatch):
     assert {r["doc_id"]: r["component_id"] for r in out} == want | {r[0]: r[0] for r in rows[2:]}
 
 
+def test_near_dedup_many_pairs_in_large_regions(spark, monkeypatch):
+    """Pairs that are linked only with each other, behind boilerplate that all texts share."""
+    monkeypatch.setattr(near_dedup, "REGION", 16)
+    monkeypatch.setattr(near_dedup, "BLOCK", 8)
+    rng = random.Random(12)
+    shared = " ".join("s%d" % i for i in range(60))
+    texts = []
+    for _ in range(300):
+        own = ["o%d" % rng.randrange(10**9) for _ in range(60)]
+        texts += [f"{shared} {' '.join(own)}", f"{shared} {' '.join(own[:-4])}"]
+    rows = [(i, t, "x") for i, t in enumerate(texts)]
+    rng.shuffle(rows)
+    out = near_dedup.near_groups(spark.createDataFrame(rows, DOCS).repartition(3)).collect()
+    assert {r["doc_id"]: r["component_id"] for r in out} == {i: i // 2 * 2 for i in range(600)}
+
+
+def test_near_dedup_very_long_texts(spark):
+    rng = random.Random(13)
+    words = ["v%d" % rng.randrange(10**6) for _ in range(300_000)]
+    edited = list(words)
+    for i in rng.sample(range(len(words)), 5_000):
+        edited[i] = "edit"
+    rows = [(1, " ".join(words), ""), (2, " ".join(edited), ""), (3, " ".join(reversed(words)), "")]
+    out = near_dedup.near_groups(spark.createDataFrame(rows, DOCS)).collect()
+    assert {r["doc_id"]: r["component_id"] for r in out} == {1: 1, 2: 1, 3: 3}
+
+
 def test_near_dedup_odd_rows(spark):
     assert near_dedup.near_groups(spark.createDataFrame([], DOCS)).count() == 0
     rows = [(1, "a b c d e f", ""), (1, "a b c d e f", ""), (None, "a b c d e f", ""), (2, "A B C D E F", ""), (3, None, "")]
@@ -186,22 +215,38 @@ def test_file_random_access():
     rng = np.random.default_rng(3)
     counts = np.array([5, 0, 9000, 1, 4096])
     ids = rng.integers(0, 49408, counts.sum())
-    f = token_files.TokenFile(np.frombuffer(token_files.file_bytes([3, None, 7, 7, 9], counts, ids, 17), np.uint8))
+    out = io.BytesIO()
+    writer = token_files.TokenWriter(out, 17)
+    for a, b in ((0, 2), (2, 5)):  # documents come in chunks
+        writer.add([3, None, 7, 7, 9][a:b], counts[a:b], ids[counts[:a].sum() : counts[:b].sum()])
+    writer.close()
+    f = token_files.TokenFile(out, out.tell())
     ends = np.cumsum(counts)
     for i, (a, b) in enumerate(zip(ends - counts, ends, strict=True)):
         assert (f.document(i) == ids[a:b]).all()
     assert (f.ids(4090, 20) == ids[4090:4110]).all()
-    assert f.table[:, 1].tolist() == [0, 1, 0, 0, 0]
+    assert f.table(0, 5)[:, 1].tolist() == [0, 1, 0, 0, 0, 0] and f.table(0, 5)[:, 0].tolist()[:5] == [3, 0, 7, 7, 9]
+    with pytest.raises(ValueError):
+        token_files.TokenFile(io.BytesIO(b"x" * 100), 100)
+    with pytest.raises(ValueError):
+        token_files._filesystem("abfss://a/b")
 
 
-def test_token_files(spark, tmp_path):
+@pytest.mark.parametrize("small", [False, True])
+def test_token_files(spark, tmp_path, monkeypatch, small):
     from tokenizers import Tokenizer
 
+    if small:  # several files a part, several pieces a document (4,001 ids and more)
+        monkeypatch.setattr(token_files, "FILE_DOCS", 2)
+        monkeypatch.setattr(token_files, "CHUNK", 1)
+        monkeypatch.setattr(token_files, "BLOCK", 8)
+        monkeypatch.setattr(token_files, "PIECE", 16)
     path = public_tokenizers.path("word_bpe_49k.json")
     library = Tokenizer.from_file(path)
     rows = [(i, t, "x") for i, t in enumerate(ODD)] + [(3, "again", "x"), (3, "again", "x"), (None, "no id", "x")]
     df = spark.createDataFrame(rows, "doc_id long, text string, start string").repartition(3)
     files = token_files.write_token_files(df, f"file://{tmp_path}/t", path, 49408, 1)
+    assert files.count() <= 4 or small
     out = token_files.read_token_files(files).collect()
     want = sorted(((-1 if i is None else i, t or "") for i, t, _ in rows))
     start = 0
@@ -222,9 +267,43 @@ def test_span_cache_begins_anew():
     for text in (b"a bb ccc dddd", b"a  eeeee", b"", b" ff "):
         ids, offsets = cache.encode([text, text])
         assert ids[: offsets[1]].tolist() == [len(w) for w in text.split()]
+    rng, calls = random.Random(14), []
+    cache = spans.SpanCache(lambda some: calls.extend(some) or [list(s.encode()) for s in some], keep_space=False, limit=40)
+    for _ in range(60):
+        words = ["often%d" % rng.randrange(9) for _ in range(9)] + ["rare%d" % rng.randrange(10**6) for _ in range(9)]
+        ids, _ = cache.encode([" ".join(words).encode()])
+        assert bytes(ids.tolist()) == "".join(words).encode()
+    assert sum(c.startswith("often") for c in calls) < 30 and len(cache._hashes) < 80  # most of what comes again is kept
     assert list(ragged.chunks_by_size([5, 5, 20, 1], 10)) == [(0, 2), (2, 3), (3, 4)]
 
 
+def test_spans_that_share_a_hash(monkeypatch):
+    real = spans.hash_spans
+    monkeypatch.setattr(spans, "hash_spans", lambda *a: real(*a) % np.uint64(5))
+    for keep_space in (False, True):
+        cache = spans.SpanCache(lambda some: [list(s.encode()) for s in some], keep_space=keep_space)
+        for text in (b"ab", b"ab cd", b"cd", b"a b c d e f g h i j k l m n", b"zz ab", b""):
+            ids, offsets = cache.encode([text, b"x " + text])
+            want = text if keep_space else b"".join(text.split())
+            assert bytes(ids[: offsets[1]].tolist()) == want
+            assert bytes(ids[offsets[1] :].tolist()) == (b"x " + text if keep_space else b"x" + want)
+
+
+def test_hashes_by_block(monkeypatch):
+    data = np.frombuffer(b" ".join(b"w%d" % (i % 700) for i in range(5000)) + b" " + b"L" * 5000 + b" w1", np.uint8)
+    word = ~spans.IS_SPACE[data]
+    edges = np.flatnonzero(np.diff(np.concatenate(([False], word, [False])).astype(np.int8)))
+    whole = spans.hash_spans(data, edges[0::2], edges[1::2])
+    monkeypatch.setattr(spans, "BLOCK", 1 << 10)
+    spans._powers.cache_clear()
+    assert (spans.hash_spans(data, edges[0::2], edges[1::2]) == whole).all()
+    spans._powers.cache_clear()
+    known = {}
+    for a, b, h in zip(edges[0::2], edges[1::2], whole.tolist(), strict=True):
+        assert known.setdefault(data[a:b].tobytes(), h) == h
+    assert len(set(known.values())) == len(known) == 701
+
+
 SMALL = "/root/testdata/sf0.01"
 
 
@@ -237,6 +316,57 @@ def test_language_held_out(spark):
     assert np.mean([r["p"]["rejected"] for r in out]) < 0.02
 
 
+def test_sgd_step_is_the_gradient():
+    rng = np.random.default_rng(5)
+    embed, linear = rng.normal(size=(6, 3)), rng.normal(size=(3, 4))
+    ids, weights, y = np.array([0, 2, 5]), np.array([0.5, 0.3, 0.2]), 1
+
+    def loss(e, m):
+        mean = [sum(w * e[i][d] for i, w in zip(ids, weights, strict=True)) for d in range(3)]
+        z = [sum(mean[d] * m[d][k] for d in range(3)) for k in range(4)]
+        return math.log(sum(math.exp(x) for x in z)) - z[y]
+
+    def slope(which, at):
+        out = []
+        for h in (1e-5, -1e-5):
+            pair = [embed.copy(), linear.copy()]
+            pair[which][at] += h
+            out.append(loss(*pair))
+        return (out[0] - out[1]) / 2e-5
+
+    moved = [embed.copy(), linear.copy()]
+    language_id.sgd_step(*moved, ids, weights, y, 0.01)
+    for which, (old, rate) in enumerate(((embed, 0.01), (linear, 0.0005))):
+        for at in np.ndindex(old.shape):
+            assert abs((old[at] - moved[which][at]) / rate - slope(which, at)) < 1e-4
+
+
+def test_language_probabilities_by_hand():
+    rng = np.random.default_rng(6)
+    model = language_id.LanguageModel(["a", "b", "c"], rng.normal(size=(language_id.BUCKETS, 3)), 0.7, 0.0)
+    texts = [b"Hello w\xc3\xb6rld", b"a", b"xy " * 50]
+    got = model.probabilities(texts)
+    for text, p in zip(texts, got, strict=True):
+        assert np.allclose(p, model.probabilities([text])[0])  # whatever stands beside it
+        buckets, starts, ends = language_id.ngram_buckets([text])
+        rows = buckets[starts[0] : ends[0]]
+        assert len(rows) == len(text) + 1
+        z = [sum(model.logits[b][k] for row in rows for b in row) / rows.size / 0.7 for k in range(3)]
+        e = [math.exp(x - max(z)) for x in z]
+        assert np.allclose(p, np.array(e) / sum(e))
+    temperature, threshold = language_id.calibrate(np.array([[5.0, 0], [4, 0], [0, 6]]), np.array([0, 0, 1]), np.array([[1.0, 0], [0, 1]]))
+    assert 0.002 < temperature < 5 and 0.5 < threshold < 0.51  # three texts do not show a quantile
+    many = np.tile(np.array([[5.0, 0], [0.3, 0]]), (1000, 1))
+    assert 0.5 < language_id.calibrate(many, np.zeros(2000, int), many[:, ::-1])[1] < 0.9
+
+
+def test_language_training_rows(spark):
+    rows = [(1, "x" * 9000, "en"), (2, "b " * 3, "fr"), (2, "b " * 3, "fr"), (2, "b " * 3, "de"), (3, None, "en"), (4, "text", None), (5, "12", "en")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").withColumn("h", F.lit(1))
+    got = language_id.training_rows(df, F.lit(True))
+    assert sorted((len(t), lang) for t, lang in got) == [(6, "de"), (6, "fr"), (language_id.TRAIN_CHARS, "en")]
+
+
 def test_language_odd_rows(spark):
     model = language_id.fit([("the cat and the dog " * 3, "en"), ("le chat et la souris " * 3, "fr")] * 10)
     df = spark.createDataFrame([(i, t, "x") for i, t in enumerate(ODD + ["12 34 !", "the dog " * 40])], "doc_id long, text string, lang string")
@@ -261,6 +391,34 @@ def test_quality_held_out(spark):
     assert np.mean([(r["s"] >= 0.3) == (r["quality"] == 1) for r in held]) > 0.95
 
 
+def test_quality_by_hand():
+    rng = np.random.default_rng(8)
+    x = np.vstack((rng.normal(0, 1, (30, 3)), rng.normal(1, 2, (20, 3))))
+    y = np.array([0.0] * 30 + [1.0] * 20)
+    model = quality._discriminant(x, y, 0.2)
+    groups = [[list(r) for r, c in zip(x, y, strict=True) if c == k] for k in (0, 1)]
+    means = [[sum(r[d] for r in g) / len(g) for d in range(3)] for g in groups]
+    spread = [[[sum((r[i] - m[i]) * (r[j] - m[j]) for r in g) for j in range(3)] for i in range(3)] for g, m in zip(groups, means, strict=True)]
+    for row in x[::7]:
+        logs = []
+        for k in (0, 1):
+            pooled = [[(spread[0][i][j] + spread[1][i][j]) / 48 for j in range(3)] for i in range(3)]
+            cov = [[0.8 * spread[k][i][j] / (len(groups[k]) - 1) + 0.1 * (pooled[i][j] + (pooled[i][i] if i == j else 0)) for j in range(3)] for i in range(3)]
+            off = np.array([row[d] - means[k][d] for d in range(3)])
+            logs.append(-0.5 * off @ np.linalg.solve(np.array(cov), off) - 0.5 * math.log(np.linalg.det(np.array(cov))))
+        assert abs(model.difference(row[None])[0] - (logs[1] - logs[0])) < 1e-9
+    model.scale, model.shift = 0.5, -0.2
+    assert abs(model.score(x[:1])[0] - 1 / (1 + math.exp(-(0.5 * model.difference(x[:1])[0] - 0.2)))) < 1e-12
+
+
+def test_quality_labels(spark):
+    stats = spark.createDataFrame([(i, [float(i)], "x") for i in (1, 2, 3, 4, 4)], "doc_id long, stats array<double>, y string")
+    labels = spark.createDataFrame([(1, 1), (1, 1), (2, 0), (2, 1), (3, None), (4, 0), (None, 1), (5, 7)], "doc_id long, quality int")
+    x, y = quality.training_sample(stats, labels, F.lit(True))
+    assert sorted(zip(x[:, 0].tolist(), y.tolist(), strict=True)) == [(1.0, 1.0), (4.0, 0.0)]
+    assert quality.training_sample(stats, labels.limit(0), F.lit(True))[1].tolist() == []
+
+
 def test_quality_odd_rows(spark):
     x = quality.statistics([(t or "").encode() for t in ODD])
     assert x.shape == (len(ODD), quality.N_FEATURES) and np.isfinite(x).all()

@@ -2,9 +2,13 @@
 
 import hashlib
 import math
+import os
 import random
 import re
+import time
 import zlib
+from collections import Counter
+from itertools import accumulate
 
 import pytest
 from pyspark.sql import functions as F
@@ -54,7 +58,8 @@ def test_exact_dedup(spark, weak):
     rng = random.Random(2)
     rows = [(i, rng.choice([None, "", " ", "a b", "ab ", "a\x0bb", "a b", "é", "ab", "ba", "c" * 9]) , "z") for i in range(60)]
     rows += [(7, "dup", "z"), (7, "dup", "z"), (8, "other", "z")]
-    digest = (lambda c: (F.crc32(c.cast("binary")) % 3).cast("string")) if weak else exact_dedup.sha256_hex
+    rows += [(200, "long " * 200_000, "z"), (201, "long" * 200_000, "z")]
+    digest = (lambda c: (F.crc32(c.cast("binary")) % 3).cast("string")) if weak else exact_dedup.sha256
     out = exact_dedup.exact_groups(spark.createDataFrame(rows, DOCS), digest=digest).collect()
     groups = _exact(rows)
     want = sorted((i, min(g)[1], len(g), i == min(g)[1]) for g in groups.values() for _, i in g)
@@ -68,12 +73,32 @@ def test_exact_dedup_empty_and_null_ids(spark):
     assert [r["kept"] for r in out if r["keep_id"] is None] == [True]
 
 
-def test_lookup_reads_runs(spark, tmp_path):
+def test_lsm_levels(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(exact_dedup, "FANOUT", 3)
+    monkeypatch.setattr(exact_dedup, "MEMTABLE", 2)
     index = exact_dedup.LsmDigestIndex(spark, f"file://{tmp_path}/i")
-    for part in (["a", "b"], ["a ", "c"]):
-        index.add(spark.createDataFrame([(i, t, "") for i, t in enumerate(part)], DOCS), "doc_id", "text")
-    assert index.lookup([hashlib.sha256(b"a").hexdigest()]).count() == 2
-    assert index.compact().count() == 3
+    rng, rows = random.Random(9), []
+    for i in range(7):
+        batch = [(10 * i + j, rng.choice(["a", "b ", "cc", "d\te", "f"]) * rng.randint(1, 2), "") for j in range(5)]
+        rows += batch
+        index.add(spark.createDataFrame(batch, DOCS).repartition(2), "doc_id", "text")
+    assert [len(level) for level in index.levels] == [1, 2]  # three flushes of a level become one of the next
+    assert len(os.listdir(tmp_path / "i" / "level0-0")) > 4  # runs of at most MEMTABLE rows
+    want = {hashlib.sha256(norm.encode()).digest(): (-min(g)[0], min(g)[1], len(g)) for norm, g in _exact(rows).items()}
+    for _ in range(2):
+        got = index.compact().collect()
+        assert {bytes(r["digest"]): (r["chars"], r["id"], r["n"]) for r in got} == want and len(got) == len(want)
+    some = spark.createDataFrame([(k,) for k in list(want)[:2]], "digest binary")
+    n = sum(want[k][2] for k in list(want)[:2])
+    assert index.lookup(some).count() == n
+    monkeypatch.setattr(exact_dedup, "LOOKUPS", 1)
+    assert index.lookup(some).count() == n and index.lookup(some.limit(0)).count() == 0
+
+
+def test_hits_without_a_bitmap(spark, monkeypatch):
+    monkeypatch.setattr(exact_dedup, "FILTER_BITS_MOST", 1)
+    out = exact_dedup.exact_groups(spark.createDataFrame([(1, "a", ""), (2, "a ", ""), (3, "b", "")], DOCS), digest=lambda c: F.lit("same")).collect()
+    assert sorted((r["doc_id"], r["keep_id"], r["group_size"]) for r in out) == [(1, 2, 2), (2, 2, 2), (3, 3, 1)]
 
 
 def test_sharding(spark):
@@ -100,6 +125,14 @@ def test_sharding(spark):
     assert sharding.shard_by_bytes(spark.createDataFrame([], DOCS), 7).count() == 0
 
 
+def test_many_shards_of_long_texts(spark):
+    rows = [(1, "x" * 3_000_000, ""), (2, None, ""), (3, "y" * 1_000_000, "")]
+    n = 10**13  # bytes times shards pass 64 bits
+    out = {r["doc_id"]: r["shard"] for r in sharding.shard_by_bytes(spark.createDataFrame(rows, DOCS), n // 10_000).collect()}
+    total = 4_000_048
+    assert out == {1: 3_000_016 * (n // 10_000) // (2 * total), 2: (2 * 3_000_016 + 16) * (n // 10_000) // (2 * total), 3: (2 * 3_000_032 + 1_000_016) * (n // 10_000) // (2 * total)}
+
+
 def _spans(text):
     found = []
     for rank, (kind, pattern, group, least) in enumerate(secrets.BASE_PATTERNS):
@@ -135,7 +168,8 @@ def test_secrets(spark):
         text = " ".join(rng.choice(parts) if rng.random() < 0.5 else "".join(rng.choice(letters) for _ in range(rng.randint(5, 60))) for _ in range(rng.randint(0, 6)))
         rows.append((i, text, ""))
     rows += [(900, None, ""), (901, "", ""), (902, "token=" + "aB3" * 20_000, ""), (3, rows[3][1], "")]
-    out = secrets.scan_secrets(spark.createDataFrame(rows, DOCS)).collect()
+    clashing = "doc_id long, text string, spans string"
+    out = secrets.scan_secrets(spark.createDataFrame(rows, clashing).withColumn("base", F.lit("mine")).withColumn("_text", F.lit("x"))).collect()
     assert len(out) == len(rows)
     texts = dict((i, t) for i, t, _ in rows)
     for r in out:
@@ -143,10 +177,27 @@ def test_secrets(spark):
     assert any(s["kind"].startswith("entropy") for r in out for s in r["spans"])
 
 
-def test_window_sum_is_entropy(spark):
-    c = secrets.CLASSES[0]
+def test_many_matches_in_one_text(spark):
+    rng = random.Random(10)
+    digests = ["%032x" % rng.getrandbits(128) for _ in range(100_000)]
+    text = "\n".join(digests) + " " + " ".join("aB3dE6gH9jK2mN5pQ8sT%04d" % i for i in range(2_000))
+    began = time.time()
+    out = secrets.scan_secrets(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    assert time.time() - began < 60
+    assert [(s["start"], s["end"]) for s in out["base"]] == [(33 * i, 33 * i + 32) for i in range(100_000)]
+    assert len(out["spans"]) == 102_000 and secrets.scan_secrets(spark.createDataFrame([], DOCS)).count() == 0
+
+
+def test_running_sums(spark):
+    sizes = [[], [5], [1, 2, 3], list(range(40))]
+    got = spark.createDataFrame([(s,) for s in sizes], "s array<int>").select(secrets.running_sums(F.col("s"))).collect()
+    assert [r[0] for r in got] == [list(accumulate(s)) for s in sizes]
+
+
+@pytest.mark.parametrize("c", secrets.CLASSES)
+def test_window_sum_is_entropy(spark, c):
     rng = random.Random(5)
-    texts = ["".join(rng.choice(c.alphabet) for _ in range(n)) for n in (20, 21, 40, 77)] + ["a" * 30, "ab" * 20]
+    texts = ["".join(rng.choice(c.alphabet) for _ in range(n)) for n in (20, 21, 40, 77)] + [c.alphabet[-1] * 30, (c.alphabet[:1] + c.alphabet[-1:]) * 20]
     got = spark.createDataFrame([(t,) for t in texts], "t string").select(secrets.least_window_sum(F.col("t"), c)).collect()
     for t, (s,) in zip(texts, got, strict=True):
         best = max(_entropy(t[i : i + c.window]) for i in range(len(t) - c.window + 1))
@@ -158,34 +209,67 @@ def _words(text):
     return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lowered)
 
 
-def _contamination(docs, items, window):
+def _contamination(docs, items, window, slop=decontaminate.SLOP):
     out = []
-    for doc, text in docs:
-        words, hit, names = _words(text), set(), set()
+    index = [(doc, _words(text)) for doc, text in docs]
+    df = Counter(w for _, words in index for w in words)
+    for doc, words in index:
+        hit, names, near, best = set(), set(), set(), 0.0
         for item, item_text in items:
             iw = _words(item_text)
             size = min(window, len(iw))
-            grams = {tuple(iw[i : i + size]) for i in range(len(iw) - size + 1)} if iw else set()
-            for i in range(len(words) - size + 1 if iw else 0):
-                if tuple(words[i : i + size]) in grams:
+            for s in range(len(iw) - size + 1 if iw else 0):
+                hits = [i for i in range(len(words) - size + 1) if words[i : i + size] == iw[s : s + size]]
+                for i in hits:
                     hit.update(range(i, i + size))
                     names.add(str(item))
-        out.append((doc, len(words), len(hit), sorted(names)))
+                rarest = sorted((df[w], s + k, w) for k, w in enumerate(iw[s : s + size]) if df[w])[:2]
+                if not rarest:
+                    continue
+                (_, p1, t1), (_, p2, t2) = rarest[0], rarest[-1]
+                places = [i for i, w in enumerate(words) if w == t2]
+                for i in (i for i, w in enumerate(words) if w == t1):
+                    gaps = [abs(j - (i - p1 + p2)) for j in places if abs(j - (i - p1 + p2)) <= slop]
+                    if gaps:
+                        near.add(str(item))
+                    if 0 in gaps:
+                        same = sum(0 <= i - p1 + p < len(words) and words[i - p1 + p] == w for p, w in enumerate(iw))
+                        best = max(best, same / len(iw))
+        out.append((doc, len(words), len(hit), sorted(names), sorted(near), round(best, 9)))
     return sorted(out, key=str)
 
 
+def _found(rows):
+    return sorted(((r["doc_id"], r["n_words"], r["n_hit"], list(r["items"]), list(r["near_items"]), round(r["best_match"], 9)) for r in rows), key=str)
+
+
 def test_decontamination(spark):
     rng = random.Random(6)
-    vocabulary = ["a", "b", "the", "É", "Été", "x1", "日本", "The"]
+    vocabulary = ["a", "b", "the", "É", "Été", "x1", "日本", "The", "rare1", "rare2"]
     make = lambda n: "".join(rng.choice(vocabulary) + rng.choice([" ", ", ", "\n", "-"]) for _ in range(n))
-    items = [(i, make(rng.randint(1, 9))) for i in range(12)] + [(20, None), (21, " ,"), (22, "solo"), (22, "solo"), (3, "the the")]
+    items = [(i, make(rng.randint(1, 9))) for i in range(12)] + [(20, None), (21, " ,"), (22, "solo"), (22, "solo"), (3, "the the"), (23, "nowhere solo the"), (24, make(40))]
     docs = [(i, make(rng.randint(0, 60))) for i in range(40)] + [(50, None), (51, ""), (52, "..."), (53, "Solo"), (53, "Solo"), (53, "clean words"), (54, "the " * 3000)]
     docs += [(60 + i, f"pre {items[i][1]} post") for i in range(12)]
-    d = spark.createDataFrame([(i, t, "x") for i, t in docs], "doc_id long, text string, term string")
+    docs += [(80, items[-1][1].replace(" ", " so ", 3)), (81, "w " * 200_000 + items[-1][1])]
+    d = spark.createDataFrame([(i, t, "x") for i, t in docs], "doc_id long, text string, term string").withColumn("dk", F.lit(1))
     b = spark.createDataFrame([(i, t, "x") for i, t in items], "item_id long, text string, doc_id string")
-    out = decontaminate.find_contamination(d, b, window=4).collect()
-    got = sorted(((r["doc_id"], r["n_words"], r["n_hit"], list(r["items"])) for r in out), key=str)
-    assert got == _contamination(docs, items, 4)
+    assert _found(decontaminate.find_contamination(d, b, window=4).collect()) == _contamination(docs, items, 4)
+
+
+def test_one_index_for_several_benchmarks(spark):
+    docs = [(1, "one two three four five"), (2, "six seven eight two three"), (3, "one two so three four")]
+    path = spark.conf.get("spark.checkpoint.dir") + "/one-index"
+    index = decontaminate.PositionalIndex.build(spark.createDataFrame(docs, "doc_id long, text string"), path)
+    again = decontaminate.PositionalIndex(spark, path)
+    assert again.postings().count() == 15 and again.documents().count() == 3
+    keys = {r["dk"]: r["doc"] for r in index.documents().collect()}
+    for items in ([(1, "two three four"), (2, "unknown words")], [(7, "seven eight two")]):
+        want = {r[0]: r[1:] for r in _contamination(docs, items, 3)}
+        found = again.search(spark.createDataFrame(items, "item_id long, text string"), window=3).collect()
+        for r in found:
+            _, n_hit, names, near, best = want[keys[r["dk"]]]
+            assert (r["n_hit"] or 0, r["items"] or [], r["near_items"], round(r["best_match"] or 0, 9)) == (n_hit, names, near, best)
+        assert {keys[r["dk"]] for r in found} == {i for i, w in want.items() if w[3]}
 
 
 def test_decontamination_of_nothing(spark):
@@ -193,5 +277,6 @@ def test_decontamination_of_nothing(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     assert [r["n_hit"] for r in decontaminate.find_contamination(d, none).collect()] == [0]
     assert decontaminate.find_contamination(d.limit(0), none).count() == 0
-    index = decontaminate.build_index(d, d.sparkSession.conf.get("spark.checkpoint.dir") + "/whole-index")
-    assert index.count() == 4  # three words and the length
+    path = spark.conf.get("spark.checkpoint.dir") + "/empty-index"
+    empty = decontaminate.PositionalIndex.build(d.limit(0), path)
+    assert empty.postings().count() == 0 and empty.search(none).count() == 0
