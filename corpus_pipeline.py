@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillmill.llm import byte_bpe, filters
-from quillmill.session import cut_lineage, delete_path, new_shared_path
+from quillmill.session import bound_arrow_batches, cut_lineage, delete_path, new_shared_path
 
 #: The rank file of the last stage, on every executor.
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -21,6 +21,7 @@ ORACLE_SQL = None
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bound_arrow_batches(spark)
     return filters.keep_identified(docs)
 
 
@@ -37,9 +38,11 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    ids = docs.select("doc_id", byte_bpe.encode_column(F.col("text"), RANKS).alias("ids"))
-    decoded = F.sha2(byte_bpe.decode_column(F.col("ids"), RANKS), 256)
-    return ids.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", decoded.alias("decoded_sha256"))
+    bound_arrow_batches(spark)
+    found = docs.select("doc_id", byte_bpe.encode_decode_column(F.col("text"), RANKS).alias("bpe"))
+    return found.select(
+        "doc_id", F.size("bpe.ids").cast("long").alias("n_tokens"), F.col("bpe.ids").alias("ids"), F.sha2("bpe.decoded", 256).alias("decoded_sha256")
+    )
 
 
 STAGES = [
