@@ -33,11 +33,16 @@ def printed_page(line: Column) -> Column:
 
 
 def page_list(text: Column, last_page: Column) -> Column:
-    """array of pages in `5`, `5-7` (also with an en dash) or `5, 6; 7`, those within 1 and last_page."""
-    low = F.regexp_extract(text, r"^\s*(\d+)\s*[-–]\s*(\d+)\s*$", 1).try_cast("int")
-    high = F.regexp_extract(text, r"^\s*(\d+)\s*[-–]\s*(\d+)\s*$", 2).try_cast("int")
+    """array of pages in `5`, `5-7` (also with an en dash) or `5, 6; 7`, those within 1 and last_page.
+
+    A range is cut to the document before it is spelled out, whatever its ends are.
+    """
+    bound = lambda n: F.regexp_extract(text, r"^\s*(\d+)\s*[-–]\s*(\d+)\s*$", n).try_cast("decimal(38,0)")
+    low, high = F.greatest(bound(1), F.lit(1)), F.least(bound(2), last_page)
     several = F.transform(F.regexp_extract_all(text, F.lit(r"(\d+)"), F.lit(1)), lambda x: x.try_cast("int"))
-    pages = F.when(low.isNotNull() & (low <= high), F.sequence(low, F.greatest(low, high))).otherwise(several)
+    none = F.array().cast("array<int>")
+    inside = F.when(low <= high, F.sequence(low.cast("int"), F.greatest(low, high).cast("int"))).otherwise(none)
+    pages = F.when(bound(1).isNotNull() & (bound(1) <= bound(2)), inside).otherwise(several)
     return F.array_distinct(F.filter(pages, lambda p: p.between(1, last_page)))
 
 

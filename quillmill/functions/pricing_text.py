@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import groupby
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -73,7 +75,9 @@ FIELD_HEADERS = (
 
 def _first(text: Column, patterns: tuple[tuple[str, str], ...], otherwise: Column) -> Column:
     out = None
-    for pattern, value in patterns:
+    # patterns of one value that follow each other are one alternation
+    for value, group in groupby(patterns, key=lambda p: p[1]):
+        pattern = "|".join(f"(?:{p})" for p, _ in group)
         out = F.when(text.rlike(pattern), value) if out is None else out.when(text.rlike(pattern), value)
     return out.otherwise(otherwise)
 

@@ -71,6 +71,14 @@ def safe_name(value: Column, longest: int = 80) -> Column:
     return F.coalesce(F.when(name != "", name), F.lit("unnamed"))
 
 
+def safe_path(folder: Column, parts: list[Column], ending: str = ".json", longest: int = 255) -> Column:
+    """folder/part_part<ending>: the parts as file names, cut so that the whole path has at most `longest` characters (30 at least for the name)."""
+    room = F.greatest(F.lit(longest - 1 - len(ending)) - F.length(folder), F.lit(30))
+    joined = F.concat_ws("_", *[safe_name(p) for p in parts])
+    name = F.when(F.length(joined) > room, F.regexp_replace(F.substring(joined, F.lit(1), room), r"[_.]+$", "")).otherwise(joined)
+    return F.concat(folder, F.lit("/"), name, F.lit(ending))
+
+
 def table_slug(value: Column, longest: int = 60) -> Column:
     return F.substring(F.regexp_replace(value, r"[^\w-]", "_"), 1, longest)
 

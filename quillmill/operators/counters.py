@@ -6,15 +6,28 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def reconcile_counters(maps: DataFrame, raw: str = "raw", cleaned: str = "cleaned", final: str = "final") -> DataFrame:
-    """One row: distinct raw, cleaned and final descriptions, and how many changed in each step."""
+def reconcile_counters(maps: DataFrame, raw: str = "raw", cleaned: str = "cleaned", merged: str = "merged", final: str = "final") -> DataFrame:
+    """One row of counters over a row for each description that was given: how many values each step left, and how many each changed."""
+    changed = lambda a, b: F.countDistinct(F.when(F.col(a) != F.col(b), F.col(a)))
     return maps.agg(
-        F.countDistinct(raw).alias("raw_descriptions"), F.countDistinct(cleaned).alias("cleaned_descriptions"),
-        F.countDistinct(final).alias("final_descriptions"), F.count_if(F.col(raw) != F.col(cleaned)).alias("changed_by_cleaning"),
-        F.count_if(F.col(cleaned) != F.col(final)).alias("merged"),
+        F.count(raw).alias("total_rows"), F.countDistinct(raw).alias("distinct_original"), F.countDistinct(cleaned).alias("distinct_after_cleaning"),
+        F.countDistinct(merged).alias("distinct_after_normalisation"), F.countDistinct(final).alias("distinct_reconciled"),
+        changed(raw, cleaned).alias("cleaning_mappings"), changed(cleaned, merged).alias("duplicate_mappings"),
+        changed(merged, final).alias("verification_mappings"), changed(raw, final).alias("total_mappings"),
     )
 
 
+def distinct_units(rows: DataFrame, unit: str) -> DataFrame:
+    """unit, n: the units that rows have, trimmed; blank ones left out."""
+    return rows.filter(F.trim(unit) != "").groupBy(F.trim(unit).alias(unit)).agg(F.count(F.lit(1)).alias("n"))
+
+
+def units_by_code(rows: DataFrame, raw: str, code: str) -> DataFrame:
+    """code, spellings, n: what units are written like, for display; a null code is what is not known."""
+    counted = rows.groupBy(code, raw).agg(F.count(F.lit(1)).alias("n"))
+    return counted.groupBy(code).agg(F.array_join(F.array_sort(F.collect_list(raw)), ", ").alias("spellings"), F.sum("n").alias("n"))
+
+
 def page_mapping_coverage(entries: DataFrame, page: str, group: list[str]) -> DataFrame:
     """group, entries, mapped, pct: how many entries of a table of contents found their page."""
     out = entries.groupBy(*group).agg(F.count(F.lit(1)).alias("entries"), F.count(page).alias("mapped"))

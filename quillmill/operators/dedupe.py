@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillmill.functions.text import normalise_key, token_set
+from quillmill.session import cut_lineage, maybe_broadcast
 
 
 def first_per_key(df: DataFrame, keys: list[str | Column], order: list[Column]) -> DataFrame:
@@ -50,23 +53,45 @@ def contract_sets(df: DataFrame, description: str, contract: str, out: str = "co
     return df.groupBy(F.trim(description).alias(description)).agg(F.array_sort(F.collect_set(contract)).alias(out))
 
 
+def prefix_pairs(left: DataFrame, right: DataFrame, kept: Callable[[Column], Column], right_kept: Callable[[Column], Column] | None = None) -> DataFrame:
+    """name_a, words_a, name_b, words_b: pairs of (name, words) whose rarest words meet, each pair once.
+
+    Words are ordered by rarity over both sides; only the first kept(n) of a left row's n
+    words (and right_kept(n) of a right row's, all by default) are joined, so a word that
+    nearly all rows share is joined only for rows that have hardly another. A pair is kept
+    for the first of its meeting words, so nothing is grouped.
+    """
+    both = left.select("words").unionAll(right.select("words"))
+    rarity = both.select(F.explode("words").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("df"))
+
+    def ordered(df: DataFrame, keep: Callable[[Column], Column] | None, tag: str) -> DataFrame:
+        flat = df.select("name", F.explode("words").alias("word")).join(maybe_broadcast(cut_lineage(rarity)), "word")
+        sets = flat.groupBy("name").agg(F.array_sort(F.collect_list(F.struct("df", "word"))).alias("_s"))
+        words = sets.select(F.col("name").alias(f"name_{tag}"), F.transform("_s", lambda s: s["word"]).alias(f"words_{tag}"))
+        n = F.size(f"words_{tag}")
+        return words.withColumn(f"prefix_{tag}", F.slice(f"words_{tag}", F.lit(1), F.greatest(keep(n).cast("int"), F.lit(0)) if keep else n))
+
+    a, b = ordered(left, kept, "a"), ordered(right, right_kept, "b")
+    met = a.withColumn("word", F.explode("prefix_a")).join(b.withColumn("word", F.explode("prefix_b")), "word")
+    first = F.array_intersect("prefix_a", "prefix_b")[0] == F.col("word")
+    return met.filter(first).select("name_a", "words_a", "name_b", "words_b")
+
+
 def candidate_pairs(described: DataFrame, name: str, contracts: str) -> DataFrame:
     """name_a < name_b, shared, smaller: pairs that share at least half of the smaller one's words and no contract.
 
-    Found from shared words: the words are exploded and joined with themselves, so pairs
-    without a common word never meet.
+    Of n words at least half are shared, so one of the rarest n - ceil(n / 2) + 1 words of
+    the smaller set is: those are joined with the words of the larger sets.
     """
-    words = described.select(name, contracts, token_set(F.col(name)).alias("words")).filter(F.size("words") > 0)
-    flat = words.select(name, F.size("words").alias("n"), F.explode("words").alias("word"))
-    a, b = flat.toDF("name_a", "n_a", "word"), flat.toDF("name_b", "n_b", "word")
-    pairs = (
-        a.join(b, "word")
-        .filter(F.col("name_a") < F.col("name_b"))
-        .groupBy("name_a", "name_b")
-        .agg(F.count(F.lit(1)).alias("shared"), F.min(F.least("n_a", "n_b")).cast("long").alias("smaller"))
-        .filter("2 * shared >= smaller")
-    )
-    left, right = words.select(F.col(name).alias("name_a"), F.col(contracts).alias("c_a")), words.select(F.col(name).alias("name_b"), F.col(contracts).alias("c_b"))
+    words = cut_lineage(described.select(F.col(name).alias("name"), token_set(F.col(name)).alias("words")).filter(F.size("words") > 0))
+    met = prefix_pairs(words, words, lambda n: n - F.ceil(n / 2) + 1)
+    smaller = (F.size("words_a") < F.size("words_b")) | ((F.size("words_a") == F.size("words_b")) & (F.col("name_a") < F.col("name_b")))
+    shared = F.size(F.array_intersect("words_a", "words_b"))
+    pairs = met.filter(smaller).select(
+        F.least("name_a", "name_b").alias("name_a"), F.greatest("name_a", "name_b").alias("name_b"), shared.cast("long").alias("shared"), F.size("words_a").cast("long").alias("smaller")
+    ).filter("2 * shared >= smaller")
+    left = described.select(F.col(name).alias("name_a"), F.col(contracts).alias("c_a"))
+    right = described.select(F.col(name).alias("name_b"), F.col(contracts).alias("c_b"))
     apart = ~F.coalesce(F.arrays_overlap("c_a", "c_b"), F.lit(False))
     return pairs.join(left, "name_a").join(right, "name_b").filter(apart).select("name_a", "name_b", "shared", "smaller")
 
@@ -150,3 +175,23 @@ def lcs_similarity(a: Column, b: Column) -> Column:
 
     last = F.element_at(F.aggregate(chars_a, zero, row), -1)
     return F.when((F.length(a) > 0) & (F.length(b) > 0), 2.0 * last / (F.length(a) + n)).otherwise(F.lit(0.0))
+
+
+def fuzzy_match(values: DataFrame, candidates: DataFrame, least: float = 0.85) -> DataFrame:
+    """value, matched, score: of the candidates at least half as long as a value (and it of them) the one that is most
+    alike by lcs_similarity(), if it reaches `least` (0.85 or more); the first in order of equals.
+
+    values: value. candidates: candidate, ord. From 0.85 on two texts that differ share two
+    neighbouring characters, so pairs are found through those and no others are compared.
+    """
+    bare = lambda c: F.lower(F.trim(F.regexp_replace(c, r"\s+", " ")))
+    pairs = lambda t: F.concat(F.array(t), F.transform(F.sequence(F.lit(1), F.greatest(F.length(t) - 1, F.lit(1))), lambda i: F.substring(t, i, F.lit(2))))
+    of = lambda df, c: cut_lineage(df.filter(bare(F.col(c)) != "").select(F.col(c).alias("name"), F.array_distinct(pairs(bare(F.col(c)))).alias("words")).distinct())
+    met = prefix_pairs(of(values, "value"), of(candidates, "candidate"), lambda n: n)
+    a, b = bare(F.col("name_a")), bare(F.col("name_b"))
+    near = met.filter(2 * F.least(F.length(a), F.length(b)) >= F.greatest(F.length(a), F.length(b)))
+    scored = near.withColumn("score", F.when(a == b, F.lit(1.0)).otherwise(lcs_similarity(a, b))).filter(F.col("score") >= least)
+    ranked = scored.join(candidates.groupBy(F.col("candidate").alias("name_b")).agg(F.min("ord").alias("ord")), "name_b")
+    return ranked.groupBy(F.col("name_a").alias("value")).agg(
+        F.min_by(F.trim("name_b"), F.struct((-F.col("score")).alias("s"), "ord")).alias("matched"), F.max("score").alias("score")
+    )

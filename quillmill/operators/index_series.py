@@ -5,35 +5,49 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quillmill.session import cut_lineage, maybe_broadcast
 
-def as_of(df: DataFrame, date: str, index: DataFrame, index_date: str, index_value: str, key: str, out_date: str, out_value: str) -> DataFrame:
-    """Adds date and value of the index row of the latest date not after the month of `date`.
 
-    Rows and index are put into one stream, dealt out by year; a year without an index row
-    of its own before a date takes the last one of the years before it, which are as
-    many rows as there are years. A null value of the row that is found is returned as null.
-    `key` makes rows of df unique.
+def by_month(index: DataFrame, index_date: str, index_value: str, series: str | None = None) -> DataFrame:
+    """_series, _month, _found (d, v), _last: the row in force in each month from a series' first row to its last.
+
+    A row is in force from the first month that begins on its date or later. As many rows
+    as the index spans months, whatever the facts are.
     """
-    month = F.trunc(F.col(date), "MM")
-    row = F.struct(F.col(index_date).alias("d"), F.col(index_value).alias("v"))
-    marks = index.filter(F.col(index_date).isNotNull()).select(
-        F.col(index_date).alias("_at"), F.lit(0).alias("_side"), row.alias("_row"), F.lit(None).cast(df.schema[key].dataType).alias("_key")
+    named = index.filter(F.col(index_date).isNotNull()).select(
+        (F.col(series) if series else F.lit("")).alias("_series"), F.col(index_date).cast("date").alias("d"), F.col(index_value).alias("v")
     )
-    asks = df.select(month.alias("_at"), F.lit(1).alias("_side"), F.lit(None).cast(marks.schema["_row"].dataType).alias("_row"), F.col(key).alias("_key"))
-    both = marks.unionByName(asks).withColumn("_year", F.year("_at"))
-    inside = Window.partitionBy("_year").orderBy("_at", "_side").rowsBetween(Window.unboundedPreceding, 0)
-    per_year = marks.groupBy(F.year("_at").alias("_y")).agg(F.max_by("_row", "_at").alias("_last"))
-    earlier = Window.orderBy("_y").rowsBetween(Window.unboundedPreceding, -1)  # a row a year
-    years = both.select(F.col("_year").alias("_y")).distinct().join(per_year, "_y", "left")
-    carried = years.select("_y", F.last("_last", ignorenulls=True).over(earlier).alias("_carry"))
-    found = (
-        both.withColumn("_hit", F.last("_row", ignorenulls=True).over(inside))
-        .filter("_side = 1")
-        .join(F.broadcast(carried), F.col("_year") == F.col("_y"), "left")
-        .select("_key", F.coalesce("_hit", "_carry").alias("_hit"))
+    one = named.groupBy("_series", "d").agg(F.max("v").alias("v"))
+    since = F.when(F.dayofmonth("d") == 1, F.col("d")).otherwise(F.add_months(F.trunc("d", "MM"), 1))
+    w = Window.partitionBy("_series").orderBy("d")
+    spans = one.withColumn("_from", since).withColumn("_next", F.lead("_from").over(w)).withColumn(
+        "_last", F.max("_from").over(Window.partitionBy("_series"))
     )
-    return df.join(found, df[key] == found["_key"], "left").select(
-        *df.columns, F.col("_hit.d").alias(out_date), F.col("_hit.v").alias(out_value)
+    until = F.coalesce(F.add_months("_next", -1), F.col("_from"))
+    months = F.when(F.col("_from") <= until, F.sequence("_from", F.greatest("_from", until), F.expr("interval 1 month")))
+    return spans.select("_series", F.explode(months).alias("_month"), F.struct("d", "v").alias("_found"), "_last")
+
+
+def as_of(
+    df: DataFrame, date: str, index: DataFrame, index_date: str, index_value: str, out_date: str, out_value: str,
+    series: str | None = None, index_series: str | None = None,
+) -> DataFrame:
+    """Adds date and value of the index row of the latest date not after the month of `date`.
+
+    With series (a column of df) and index_series (one of the index) each row looks into
+    its own series. The index is spelled out month by month and joined by equality, so df
+    is not shuffled as long as the index has at most BROADCAST_ROWS months in all; a date
+    after the last row takes the last row. A null value of the row that is found is
+    returned as null, as is everything for a null date or a date before the first row. Of
+    index rows of one date the largest value counts.
+    """
+    months = cut_lineage(by_month(index, index_date, index_value, index_series))
+    ends = maybe_broadcast(months.groupBy("_series").agg(F.max("_last").alias("_end")).withColumnRenamed("_series", "_s"))
+    own = F.col(series) if series else F.lit("")
+    asked = df.withColumn("_key", own).join(ends, F.col("_key") == F.col("_s"), "left").withColumn("_ask", F.least(F.trunc(F.col(date), "MM"), F.when(F.col(date).isNotNull(), F.col("_end"))))
+    found = maybe_broadcast(months.select(F.col("_series").alias("_s2"), "_month", "_found"))
+    return asked.join(found, (F.col("_key") == F.col("_s2")) & (F.col("_ask") == F.col("_month")), "left").select(
+        *[F.col(f"`{c}`") for c in df.columns], F.col("_found.d").alias(out_date), F.col("_found.v").alias(out_value)
     )
 
 

@@ -124,3 +124,19 @@ def context_window(df: DataFrame, group: list[str], order: str, hit: Column, bef
     """Rows from `before` rows before a hit to `after` rows behind it; overlaps once."""
     w = Window.partitionBy(*group).orderBy(order).rowsBetween(-after, before)
     return df.withColumn("_near", F.max(hit.cast("int")).over(w)).filter("_near = 1").drop("_near")
+
+
+#: What marks a line of an adjustment formula, as it is written.
+CLAUSE_MARKERS = (
+    "Po =", "Po=", "CPIo", "CPIln", "CPIn", "Pn =", "Pn=", "base price", "Base Price", "Review Milestone", "calendar quarter", "Cat No.", "6401",
+)
+
+
+def clause_context(lines: DataFrame, group: list[str], order: str, text: str, before: int = 30, after: int = 49) -> DataFrame:
+    """The lines around those that speak of price adjustment or mark a formula; blank lines do not count."""
+    from quillmill.functions.text import ESCALATION_KEYWORDS, contains_any
+
+    hit = contains_any(F.col(text), ESCALATION_KEYWORDS)
+    for marker in CLAUSE_MARKERS:
+        hit = hit | F.contains(text, F.lit(marker))
+    return context_window(lines.filter(F.trim(text) != ""), group, order, hit, before, after)

@@ -38,18 +38,23 @@ def transform(value: Column, hint: Column, target: Column) -> Column:
     )
 
 
-def apply_mappings(cells: DataFrame, mappings: DataFrame, row_keys: list[str], schema: dict[str, tuple[str, ...]]) -> DataFrame:
+def apply_mappings(
+    cells: DataFrame, mappings: DataFrame, row_keys: list[str], schema: dict[str, tuple[str, ...]], table_keys: tuple[str, ...] = ("table_id", "occ")
+) -> DataFrame:
     """row keys and the target columns that any table of `schema` has.
 
-    cells: row_keys, table_id, header, col_idx, value. mappings: table_id, target_table,
-    source, target, hint, ord. Targets outside their table's schema are dropped; of
-    several mappings to a target the last column wins, then the last mapping. No pivot
-    over data: the targets are known, so each is one conditional maximum.
+    cells: row_keys, table_id, occ, header, col_idx, value. mappings: table_id, occ,
+    target_table, source, target, hint, ord. occ numbers the tables, and the proposals,
+    that share an id (occurrence()): the first proposal is for the first of them. Targets
+    outside their table's schema are dropped; of several mappings to a target the last
+    column wins, then the last mapping. No pivot over data: the targets are known, so
+    each is one conditional maximum.
     """
     allowed = mappings.filter(
         F.concat_ws(".", "target_table", "target").isin([f"{t}.{c}" for t, columns in schema.items() for c in columns])
     )
-    mapped = cells.join(maybe_broadcast(allowed), (cells["table_id"] == allowed["table_id"]) & (cells["header"] == allowed["source"])).drop(allowed["table_id"])
+    own = maybe_broadcast(allowed.withColumnRenamed("source", "header"))
+    mapped = cells.join(own, [*table_keys, "header"])
     valued = mapped.withColumn("_value", transform(F.col("value"), F.col("hint"), F.col("target")))
     targets = list(dict.fromkeys(c for columns in schema.values() for c in columns))
     last = lambda t: F.max_by(F.when(F.col("target") == t, F.col("_value")), F.when(F.col("target") == t, F.struct("col_idx", "ord")))
@@ -117,6 +122,19 @@ def replace_by_match(df: DataFrame, column: str, matches: DataFrame, least: floa
     return out.withColumns({f"orig_{column}": F.col(column), column: F.when(better, F.col("matched")).otherwise(F.col(column))}).drop("_v", "matched")
 
 
+def reference_fields(rows: DataFrame, info: DataFrame, key: str = "document_id") -> DataFrame:
+    """rows with the reference fields that the extraction info of their document has (filled ones) in place of their own."""
+    given = info.select(key, *[F.col(c).alias(f"_{c}") for c in REFERENCES])
+    own = {c: F.col(c) if c in rows.columns else F.lit(None).cast("string") for c in REFERENCES}
+    joined = rows.join(maybe_broadcast(given), key, "left")
+    return joined.withColumns({c: F.coalesce(F.nullif(F.trim(f"_{c}"), F.lit("")), own[c]) for c in REFERENCES}).drop(*[f"_{c}" for c in REFERENCES])
+
+
+def skip_sections(df: DataFrame, section_type: str, skipped: tuple[str, ...]) -> DataFrame:
+    """Rows of sections whose type is not among the skipped ones."""
+    return df.filter(F.coalesce(~F.lower(section_type).isin(*skipped), F.lit(True))) if skipped else df
+
+
 def reference_overlap(values: Column, references: Column) -> Column:
     """True if the texts of two arrays share a word of four letters or more."""
     words = lambda a: F.flatten(

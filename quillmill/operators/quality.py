@@ -80,6 +80,43 @@ def class_rollup(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.rollup(*keys).agg(F.count(F.lit(1)).alias("n"))
 
 
+def mapping_review(reviews: DataFrame, documents: DataFrame, key: str = "document_id") -> DataFrame:
+    """key, tables_reviewed, average_accuracy_pct and the counts of verdicts, for every document.
+
+    reviews: key, error (null: completed), overall_accuracy_pct, classification_verdict,
+    mapping_verdicts and value_verdicts (arrays of text). Failed tables do not count; a
+    classification that is not correct is incorrect.
+    """
+    done = F.col("error").isNull()
+    verdicts = lambda c, v: F.sum(F.when(done, F.size(F.filter(F.coalesce(c, F.array().cast("array<string>")), lambda x: x == v)))).cast("long")
+    right = done & F.coalesce(F.col("classification_verdict") == "correct", F.lit(False))
+    stats = reviews.groupBy(key).agg(
+        F.count_if(done).alias("tables_reviewed"),
+        F.round(F.avg(F.when(done, F.coalesce("overall_accuracy_pct", F.lit(0)))), 1).alias("average_accuracy_pct"),
+        F.count_if(right).alias("classification_correct"),
+        F.count_if(done & ~right).alias("classification_incorrect"),
+        *[verdicts(F.col("mapping_verdicts"), v).alias(f"mappings_{v}") for v in ("correct", "incorrect", "missing", "unnecessary")],
+        *[verdicts(F.col("value_verdicts"), v).alias(f"values_{v}") for v in ("correct", "incorrect")],
+    )
+    return with_empty(documents, stats, key)
+
+
+def review_totals(stats: DataFrame, failed: Column) -> DataFrame:
+    """One row over documents of mapping_review(): files, errors, least, mean and largest accuracy, sums, and the verdicts' shares in percent."""
+    ok = ~failed
+    counts = [c for c in stats.columns if c.startswith(("mappings_", "values_", "classification_"))]
+    out = stats.agg(
+        F.count(F.lit(1)).alias("files"), F.count_if(failed).alias("errors"),
+        *[F.round(f(F.when(ok, F.col("average_accuracy_pct"))), 1).alias(f"{n}_accuracy_pct") for n, f in (("min", F.min), ("avg", F.avg), ("max", F.max))],
+        *[F.coalesce(F.sum(F.when(ok, F.col(c))), F.lit(0)).alias(c) for c in counts],
+    )
+    for group in ("mappings", "values"):
+        own = [c for c in counts if c.startswith(group)]
+        total = sum((F.col(c) for c in own[1:]), F.col(own[0]))
+        out = out.withColumns({f"{c}_pct": F.when(total > 0, F.round(100.0 * F.col(c) / total, 1)) for c in own})
+    return out
+
+
 def structure_faults(document_id: Column, header: Column, sections: Column) -> Column:
     """array of what a document lacks."""
     return F.array_compact(
@@ -91,5 +128,11 @@ def structure_faults(document_id: Column, header: Column, sections: Column) -> C
     )
 
 
+def kind_faults(js: Column, wanted: Column) -> Column:
+    """What is wrong with a section's JSON, for the kind (array, object or null) its schema has; null if nothing is."""
+    kind = F.when(F.ltrim(js).startswith("["), "array").when(F.ltrim(js).startswith("{"), "object").otherwise("value")
+    return F.when(wanted.isNotNull() & (kind != wanted), F.concat(F.lit("expected "), wanted, F.lit(", got "), kind))
+
+
 def unmatched(terms: DataFrame, found: DataFrame, on: str) -> DataFrame:
     return terms.join(found.select(on).distinct(), on, "left_anti")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quillmill.functions import dates, money
 from quillmill.operators import index_series
+from quillmill.session import cut_lineage, maybe_broadcast
 
 #: Months between adjustments, by name.
 STEPS = {"annual": 12, "annually": 12, "yearly": 12, "half-yearly": 6, "semi-annual": 6, "quarterly": 3, "monthly": 1}
@@ -17,30 +18,38 @@ def step_months(frequency: Column) -> Column:
     return F.coalesce(known[F.lower(F.trim(frequency))], F.lit(3))
 
 
+def adjustment_label(kind: Column, base_price: Column, base_index: Column, index: Column, price: Column, start: Column, end: Column) -> Column:
+    """What an adjusted row says of itself: prices with two decimals, indexes with one."""
+    day = lambda d: F.date_format(d, "dd/MM/yyyy")
+    return F.format_string(
+        "CPI Adjusted (%s) | Po: %.2f | CPIo: %.1f | CPIn: %.1f | Pn: %.2f | Period: %s-%s", kind, base_price, base_index, index, price, day(start), day(end)
+    )
+
+
 def adjust_prices(prices: DataFrame, formulas: DataFrame, index: DataFrame) -> DataFrame:
-    """row_id, period_id, valid_from, valid_to, price, index_date, index_value for each adjustment date.
+    """document_id, row_id, period_id, valid_from, valid_to, price, index_date, index_value, base_price, base_index for each adjustment date.
 
-    prices: row_id, item, net_price (text). formulas: period_id, period_start, period_end
-    (dates), frequency, base_price and base_index (null: rolling), keyword (null: all rows;
-    a keyword without a hit is for all rows too). index: date, value of one series.
+    prices: document_id, row_id, item, net_price (text). formulas: document_id, period_id,
+    period_start, period_end (dates), frequency, series, base_price and base_index (null:
+    rolling), keyword (null: all rows of the document; a keyword without a hit is for all
+    of them too). index: series, date, value. Rows meet the periods of their own document.
     Prices and indexes are carried within a row; each base is locked or rolls on its own.
     """
     from quillmill.functions.text import keyword_match
 
-    periods = formulas.select("period_id", "period_start", "period_end", "frequency", "base_price", "base_index", "keyword")
-    listed = F.array(*[F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(r, periods.schema, strict=True)]) for r in periods.collect()])  # clauses of a contract: a few
-    every = prices.select("row_id", "item", money.parse_price(F.col("net_price")).alias("own_price"), F.inline(listed))
-    hit = every.withColumn("hit", F.coalesce(keyword_match(F.col("item"), F.col("keyword")), F.lit(True)))
-    any_hit = hit.groupBy("period_id").agg(F.max("hit").alias("any_hit"))  # a row a period
-    wanted = hit.join(F.broadcast(any_hit), "period_id").filter("hit or not any_hit").drop("hit", "any_hit")
+    periods = formulas.select("document_id", "period_id", "period_start", "period_end", "frequency", "series", "base_price", "base_index", "keyword")
+    rows = prices.select("document_id", "row_id", "item", money.parse_price(F.col("net_price")).alias("own_price"))
+    hit = rows.join(maybe_broadcast(periods), "document_id").withColumn("hit", F.coalesce(keyword_match(F.col("item"), F.col("keyword")), F.lit(True)))
+    any_hit = hit.groupBy("document_id", "period_id").agg(F.max("hit").alias("any_hit"))  # a row a period
+    wanted = hit.join(maybe_broadcast(cut_lineage(any_hit)), ["document_id", "period_id"]).filter("hit or not any_hit").drop("hit", "any_hit")
 
     when = dates.adjustment_dates(F.col("period_start"), F.col("period_end"), step_months(F.col("frequency")))
-    dated = wanted.withColumn("date", F.explode(when)).withColumn("_row_key", F.concat_ws("|", "row_id", "period_id", "date"))
-    looked = index_series.as_of(dated, "date", index, "date", "value", "_row_key", "index_date", "index_value")
+    dated = wanted.withColumn("date", F.explode(when))
+    looked = index_series.as_of(dated, "date", index, "date", "value", "index_date", "index_value", series="series", index_series="series")
     rolled = looked.withColumn("_start", F.coalesce("base_price", "own_price"))
-    group = ["row_id", "period_id"]
+    group = ["document_id", "row_id", "period_id"]
     rolling = index_series.reprice_rolling(rolled, group, "date", "_start", "index_value", "_rolling")
     locked = index_series.reprice_locked(F.col("_start"), F.col("base_index"), F.col("index_value"))
     out = rolling.withColumn("price", F.when(F.col("base_index").isNotNull(), locked).otherwise(F.col("_rolling")))
     out = index_series.validity_of_adjusted(out.withColumnRenamed("date", "valid_from"), group, "valid_from", F.col("period_end"))
-    return out.select("row_id", "period_id", "valid_from", "valid_to", "price", "index_date", "index_value")
+    return out.select(*group, "valid_from", "valid_to", "price", "index_date", "index_value", "base_price", "base_index")

@@ -15,7 +15,7 @@ from dataclasses import dataclass, field
 from typing import Protocol
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillmill.session import cut_lineage
@@ -94,6 +94,60 @@ def ask(df: DataFrame, prompt: str, provider: Provider, out: str = "reply") -> D
     return df.join(cut_lineage(asked), F.col(prompt) == F.col("_prompt"), "left").drop("_prompt")
 
 
+@dataclass
+class HttpProvider:
+    """Asks a JSON service: `body` makes the request of a prompt, `read` takes the reply out of the answer.
+
+    Nothing is connected before reply() is called. Errors are left to RetryingProvider.
+    """
+
+    url: str
+    body: Callable[[str], dict]
+    read: Callable[[dict], str | None]
+    headers: dict[str, str] = field(default_factory=dict)
+    timeout: float = 60.0
+
+    def reply(self, prompt: str) -> str | None:
+        import urllib.request
+
+        request = urllib.request.Request(self.url, json.dumps(self.body(prompt)).encode(), {"Content-Type": "application/json", **self.headers})
+        with urllib.request.urlopen(request, timeout=self.timeout) as answer:
+            return self.read(json.load(answer))
+
+
+@dataclass
+class StructuredProvider:
+    """Replies that are objects with these fields, as JSON: asked again until one is, at most `tries` times; then there is none."""
+
+    inner: Provider
+    fields: tuple[str, ...]
+    tries: int = 3
+
+    def reply(self, prompt: str) -> str | None:
+        for _ in range(self.tries):
+            found = repair_json(self.inner.reply(prompt) or "")
+            if isinstance(found, dict) and all(f in found for f in self.fields):
+                return json.dumps({f: found[f] for f in self.fields}, ensure_ascii=False)
+        return None
+
+
+#: Texts that stand for no value in a reply.
+NO_VALUE = ("null", "None", "N/A")
+
+
+def reply_items(js: Column, fields: tuple[str, ...]) -> Column:
+    """array of maps: the objects of a reply's JSON array with these fields as trimmed text; unknown fields go, what says
+    no value (zero and false too) is empty, and what is no object is left out. Null if nothing is left: an error of the reply."""
+
+    def item(text: Column) -> Column:
+        read = F.from_json(text, "map<string,string>")
+        value = lambda f: F.trim(F.coalesce(F.try_element_at(read, F.lit(f)), F.lit("")))
+        return F.create_map(*[x for f in fields for x in (F.lit(f), F.when(value(f).isin(*NO_VALUE, "false", "0"), "").otherwise(value(f)))])
+
+    kept = F.filter(F.from_json(js, "array<string>"), lambda t: F.ltrim(t).startswith("{"))
+    return F.when(F.size(kept) > 0, F.transform(kept, item))
+
+
 def render(template: str, **values: object) -> str:
     """The template with its {names} filled in; names without a value stay as they are."""
     return re.sub(r"\{(\w+)\}", lambda m: str(values.get(m[1], m[0])), template)

@@ -26,7 +26,7 @@ def clean(description: Column) -> Column:
 
 
 def reconcile(df: DataFrame, description: str, contract: str) -> DataFrame:
-    """raw, cleaned, final: what each raw description becomes."""
+    """raw, cleaned, merged, final: what each raw description becomes, step by step."""
     raw = df.filter(F.col(description).isNotNull()).select(F.col(description).alias("raw"), clean(F.col(description)).alias("cleaned"), F.col(contract).alias("contract"))
     sets = dedupe.contract_sets(raw, "cleaned", "contract")
     # one group a key: few spellings each; those that share a contract are split
@@ -45,5 +45,5 @@ def reconcile(df: DataFrame, description: str, contract: str) -> DataFrame:
     phase3 = same.groupBy(shorter.alias("merged")).agg(F.min(longer).alias("chosen"))
     return (
         raw.select("raw", "cleaned").distinct().join(phase2, "cleaned").join(phase3, "merged", "left")
-        .select("raw", "cleaned", F.coalesce("chosen", "merged").alias("final"))
+        .select("raw", "cleaned", "merged", F.coalesce("chosen", "merged").alias("final"))
     )

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quillmill.functions import text
 from quillmill.operators import intervals, quality, tree
-from quillmill.queries.pricing import _values
+from quillmill.plans.provider import reply_items
 from quillmill.queries.registry import query, table
 
 
@@ -86,35 +86,51 @@ def _conversation_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
 WITH r AS (SELECT conv_id, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS p FROM conversations)
-SELECT conv_id, lpad(CAST(p AS VARCHAR), 6, '0') AS path, 0 AS depth, 'subsection' AS block_type, role AS content FROM r
-UNION ALL SELECT conv_id, lpad(CAST(p AS VARCHAR), 6, '0') || '.000000', 1, 'paragraph', md5(text) FROM r WHERE trim(text) <> ''
+SELECT conv_id, lpad(CAST(p AS VARCHAR), 10, '0') AS path, 0 AS depth, 'subsection' AS block_type, role AS content FROM r
+UNION ALL SELECT conv_id, lpad(CAST(p AS VARCHAR), 10, '0') || '.0000000000', 1, 'paragraph', md5(text) FROM r WHERE trim(text) <> ''
 """)
 def q_flatten_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     flat = tree.flatten_blocks(spark, _conversation_json(spark, sf_dir), "conv_id", "js")
     return flat.select("conv_id", tree.path_key(F.col("path")).alias("path"), "depth", "block_type", F.coalesce("heading", F.md5("text")).alias("content"))
 
 
-_DEEP = """[{"type":"paragraph","text":"top"},{"type":"subsection","heading":"1","content":[{"type":"subsection","heading":"1.1","content":[
-{"type":"subsection","heading":"1.1.1","content":[{"type":"subsection","heading":"","content":[{"type":"paragraph","text":"deep"}]},{"type":"note","text":"odd"}]}]},
-{"type":"table","caption":"Rates","headers":["A","B"],"rows":[["1",null],["2","3"]]}]},"bare",{"type":"paragraph","text":" "}]"""
-_DEEP_ROWS = [
-    ("000000", 0, "paragraph"), ("000001", 0, "subsection"), ("000001.000000", 1, "subsection"), ("000001.000000.000000", 2, "subsection"),
-    ("000001.000000.000000.000000", 3, "subsection"), ("000001.000000.000000.000000.000000", 4, "paragraph"), ("000001.000000.000000.000001", 3, "paragraph"),
-    ("000001.000001", 1, "table"), ("000002", 0, "paragraph"),
-]
-
-
-@query(f"SELECT * FROM (VALUES {_values(_DEEP_ROWS)}) v(path, depth, block_type)")
+@query("""
+WITH d AS (SELECT doc_id, coalesce(trim(text), '') AS t, lang, source FROM documents), z AS (SELECT '0000000000' AS z, '0000000001' AS o, '0000000002' AS w)
+SELECT doc_id, z AS path, 0 AS depth, 'subsection' AS block_type, NULL AS under, source AS content FROM d, z
+UNION ALL SELECT doc_id, z || '.' || z, 1, 'subsection', source, '' FROM d, z
+UNION ALL SELECT doc_id, z || '.' || z || '.' || z, 2, 'subsection', source, lang FROM d, z
+UNION ALL SELECT doc_id, z || '.' || z || '.' || z || '.' || z, 3, 'paragraph', coalesce(lang, source), md5(t) FROM d, z WHERE t <> ''
+UNION ALL SELECT doc_id, z || '.' || z || '.' || z || '.' || o, 3, 'table', coalesce(lang, source), 'Rates' FROM d, z
+UNION ALL SELECT doc_id, z || '.' || z || '.' || o, 2, 'paragraph', source, md5('odd') FROM d, z
+UNION ALL SELECT doc_id, o, 0, 'paragraph', NULL, md5('bare') FROM d, z
+""")
 def q_flatten_deep(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.createDataFrame([("d", _DEEP)], "id string, js string")
-    flat = tree.flatten_blocks(spark, docs, "id", "js")
-    return flat.select(tree.path_key(F.col("path")).alias("path"), "depth", "block_type")
+    """Every document as a tree of four levels: a blank heading, a block of unknown type, a table, a bare text, a blank paragraph."""
+    text = F.coalesce(F.trim("text"), F.lit(""))
+    of = lambda kind, **fields: F.struct(F.lit(kind).alias("type"), *[c.alias(n) for n, c in fields.items()])
+    rates = of("table", caption=F.lit("Rates"), headers=F.array(F.lit("A"), F.lit("B")), rows=F.array(F.array(F.col("source"), F.lit(None).cast("string"))))
+    js = lambda c: F.to_json(c, {"ignoreNullFields": "false"})
+    nest = lambda heading, *blocks: F.concat(F.lit('{"type":"subsection","heading":'), js(F.struct(heading.alias("h"))).substr(F.lit(6), F.lit(10**6)).substr(F.lit(1), F.length(js(F.struct(heading.alias("h")))) - 6), F.lit(',"content":['), F.concat_ws(",", *blocks), F.lit("]}"))
+    third = nest(F.col("lang"), js(of("paragraph", text=text)), js(rates))
+    second = nest(F.lit(""), third, F.lit('{"type":"note","text":"odd"}'))
+    first = nest(F.col("source"), second)
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.concat(F.lit("["), first, F.lit(',"bare",{"type":"paragraph","text":" "}]')).alias("js"))
+    flat = tree.flatten_blocks(spark, docs, "doc_id", "js")
+    said = F.when(F.col("block_type") == "paragraph", F.md5("text")).when(F.col("block_type") == "table", F.col("caption")).otherwise(F.col("heading"))
+    return flat.select("doc_id", tree.path_key(F.col("path")).alias("path"), "depth", "block_type", "under", said.alias("content"))
 
 
-@query("SELECT event_id, CASE WHEN event_id % 13 <> 0 THEN CAST(json_extract_string(props, '$.k') AS BIGINT) END AS k FROM events")
+@query("""
+SELECT event_id, 0 AS nth, CASE WHEN json_extract_string(props, '$.k') = '0' THEN '' ELSE json_extract_string(props, '$.k') END AS k, event_type AS type FROM events WHERE event_id % 13 <> 0
+UNION ALL SELECT event_id, 1, '', '' FROM events WHERE event_id % 13 <> 0
+""")
 def q_props_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    props = F.when(F.col("event_id") % 13 == 0, F.lit('{"k": ')).otherwise(F.col("props"))
-    return table(spark, sf_dir, "events").select("event_id", F.try_variant_get(F.try_parse_json(props), "$.k", "bigint").alias("k"))
+    """Replies of two objects and a text each, every thirteenth of them cut off."""
+    named = F.regexp_replace("props", r"\}$", "")
+    reply = F.concat(F.lit("["), named, F.lit(', "type": " '), "event_type", F.lit(' ", "other": 1}, "x", {"k": null, "type": "N/A"}]'))
+    cut = F.when(F.col("event_id") % 13 == 0, F.lit('[{"k": ')).otherwise(reply)
+    items = table(spark, sf_dir, "events").select("event_id", F.posexplode(reply_items(cut, ("k", "type"))).alias("nth", "item"))
+    return items.select("event_id", "nth", F.col("item")["k"].alias("k"), F.col("item")["type"].alias("type"))
 
 
 @query("""
@@ -126,15 +142,15 @@ def q_trailing_context(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tree.carry_forward(table(spark, sf_dir, "conversations"), ["conv_id"], ["turn"], user, "ctx_turn", include_current=True).select("conv_id", "turn", "ctx_turn")
 
 
-_TERMS = [("the",), ("warranty",), ("schlich",), ("rise and fall",), ("of",)]
-
-
-@query(f"""
-SELECT term FROM (VALUES {_values(_TERMS)}) v(term)
-WHERE term NOT IN (SELECT unnest(string_split_regex(lower(text), '[^a-z]+')) FROM documents)
+@query("""
+WITH w AS (SELECT DISTINCT unnest(string_split_regex(lower(text), '[^a-z]+')) AS w FROM documents),
+t AS (SELECT DISTINCT split_part(p_name, ' ', 2) AS term FROM part UNION SELECT DISTINCT lower(o_orderstatus) FROM orders UNION SELECT 'the' UNION SELECT 'of')
+SELECT term FROM t WHERE term NOT IN (SELECT w FROM w WHERE w IS NOT NULL)
 """)
 def q_unmatched_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    terms = spark.createDataFrame(_TERMS, "term string")
+    planted = spark.createDataFrame([("the",), ("of",)], "term string")
+    terms = table(spark, sf_dir, "part").select(F.split("p_name", " ")[1].alias("term")).unionByName(
+        table(spark, sf_dir, "orders").select(F.lower("o_orderstatus").alias("term"))
+    ).unionByName(planted).distinct()
     words = table(spark, sf_dir, "documents").select(F.explode(F.array_distinct(F.split(F.lower("text"), "[^a-z]+"))).alias("term"))
-    found = words.join(F.broadcast(terms), "term", "left_semi").distinct()  # a constant list of terms
-    return quality.unmatched(terms, found, "term")
+    return quality.unmatched(terms, words, "term")

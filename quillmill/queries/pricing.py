@@ -52,36 +52,39 @@ def q_contract_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _INDEX = """
 WITH idx AS (
-  SELECT DISTINCT CAST(date_trunc('quarter', l_shipdate) AS DATE) AS m FROM lineitem
+  SELECT CAST(date_trunc('quarter', l_shipdate) AS DATE) AS m, l_returnflag AS s, CAST(round(max(l_extendedprice) * 100) AS BIGINT) AS v FROM lineitem GROUP BY 1, 2
 )"""
+_SERIES = "CASE o_orderkey % 3 WHEN 0 THEN 'A' WHEN 1 THEN 'N' ELSE 'R' END"
 
 
 def _index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three quarterly series: the largest price of each return flag, in cents."""
     quarter = F.trunc(F.col("l_shipdate").cast("date"), "QUARTER")
-    return table(spark, sf_dir, "lineitem").groupBy(quarter.alias("m")).agg(F.avg("l_extendedprice").alias("v"))
+    largest = F.round(F.max("l_extendedprice") * 100).cast("long")
+    return table(spark, sf_dir, "lineitem").groupBy(quarter.alias("m"), F.col("l_returnflag").alias("s")).agg(largest.alias("v"))
 
 
-@query(_INDEX + """
-SELECT o_orderkey, idx.m AS index_month
-FROM (SELECT o_orderkey, CAST(date_trunc('month', o_orderdate) AS DATE) AS d FROM orders) o ASOF LEFT JOIN idx ON o.d >= idx.m
+@query(_INDEX + f"""
+SELECT o_orderkey, idx.m AS index_month, idx.v AS index_value
+FROM (SELECT o_orderkey, {_SERIES} AS s, CAST(date_trunc('month', o_orderdate) AS DATE) AS d FROM orders) o ASOF LEFT JOIN idx ON o.s = idx.s AND o.d >= idx.m
 """)
 def q_asof_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("d"))
-    found = index_series.as_of(orders, "d", _index(spark, sf_dir), "m", "v", "o_orderkey", "index_month", "index_value")
-    return found.select("o_orderkey", "index_month")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", F.expr(_SERIES).alias("s"), F.col("o_orderdate").cast("date").alias("d"))
+    found = index_series.as_of(orders, "d", _index(spark, sf_dir), "m", "v", "index_month", "index_value", series="s", index_series="s")
+    return found.select("o_orderkey", "index_month", "index_value")
 
 
 @query(_INDEX + """
-SELECT o_orderkey, lookup_month, idx.m AS index_month
+SELECT o_orderkey, lookup_month, idx.m AS index_month, idx.v AS index_value
 FROM (SELECT o_orderkey, CAST(date_trunc('month', o_orderdate) - INTERVAL 3 MONTH AS DATE) AS lookup_month FROM orders) o
-ASOF LEFT JOIN idx ON o.lookup_month >= idx.m
+ASOF LEFT JOIN (SELECT * FROM idx WHERE s = 'N') idx ON o.lookup_month >= idx.m
 """)
 def q_prior_quarter(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", index_series.prior_quarter(F.col("o_orderdate").cast("date")).alias("lookup_month")
     )
-    found = index_series.as_of(orders, "lookup_month", _index(spark, sf_dir), "m", "v", "o_orderkey", "index_month", "index_value")
-    return found.select("o_orderkey", "lookup_month", "index_month")
+    index = _index(spark, sf_dir).filter("s = 'N'")
+    return index_series.as_of(orders, "lookup_month", index, "m", "v", "index_month", "index_value")
 
 
 _QUARTERS = "(VALUES (0, DATE '2024-01-01', {0}), (1, DATE '2024-04-01', {1}), (2, DATE '2024-07-01', {2}), (3, DATE '2024-10-01', {3}), (4, DATE '2025-01-01', {4})) q(k, d, i)"
@@ -174,12 +177,9 @@ def q_day_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return long.select("user_id", "day_idx", F.col("hours").cast("long").alias("hours"))
 
 
-_HEADERS = [
-    ("Sat 2/11/2024", None, "2024-11-02", ""), ("saturday_7_12_24", None, "2024-12-07", ""), ("Sat_2/11/2024", None, "2024-11-02", ""),
-    ("12/10/2024 - Day Shift Hours", None, "2024-10-12", "Day"), ("26/10/2024 Nightshift", None, "2024-10-26", "Night"),
-    ("Saturday Hours", "2025-01-17", "2025-01-11", ""), ("Mon", "2025-01-17", "2025-01-13", ""), ("Sat", "17/01/2025", "2025-01-11", ""),
-    ("weekly_total_9_08_2025", None, "2025-08-09", ""), ("Training", None, None, "Training"), ("31/02/2024", None, None, ""), ("Fri", None, None, ""),
-]
+def _case(key: str, values: list[str]) -> str:
+    """SQL text of both engines: the value at the key's remainder."""
+    return f"CASE {key} % {len(values)} " + " ".join(f"WHEN {i} THEN {v}" for i, v in enumerate(values)) + " END"
 
 
 def _values(rows: list[tuple]) -> str:
@@ -187,12 +187,23 @@ def _values(rows: list[tuple]) -> str:
     return ", ".join("(" + ", ".join(map(text, r)) + ")" for r in rows)
 
 
-@query(f"SELECT header, week_ending, CAST(d AS DATE) AS work_date, shift_type FROM (VALUES {_values(_HEADERS)}) v(header, week_ending, d, shift_type)")
+@query("""
+SELECT o_orderkey, CASE WHEN o_orderkey % 6 < 5 THEN CAST(o_orderdate AS DATE) END AS work_date,
+       CASE o_orderkey % 6 WHEN 2 THEN 'Day' WHEN 3 THEN 'Night' WHEN 5 THEN 'Training' ELSE '' END AS shift_type FROM orders
+""")
 def q_day_column_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = spark.createDataFrame([h[:2] for h in _HEADERS], "header string, week_ending string")
-    return rows.select(
-        "header", "week_ending", dates.day_column_date(F.col("header"), F.col("week_ending")).alias("work_date"),
-        dates.day_column_shift(F.col("header")).alias("shift_type"),
+    day, key = F.col("o_orderdate").cast("date"), F.col("o_orderkey")
+    header = (
+        F.when(key % 6 == 0, F.date_format(day, "EEE d/M/yyyy"))
+        .when(key % 6 == 1, F.concat(F.lit("weekly_total_"), F.date_format(day, "d_MM_yyyy")))
+        .when(key % 6 == 2, F.concat(F.date_format(day, "dd/MM/yyyy"), F.lit(" - Day Shift Hours")))
+        .when(key % 6 == 3, F.concat(F.date_format(day, "d/MM/yyyy"), F.lit(" Nightshift")))
+        .when(key % 6 == 4, F.concat(F.date_format(day, "EEEE"), F.lit(" Hours")))
+        .otherwise("Training")
+    )
+    week_ending = F.when(key % 6 == 4, F.date_format(F.date_add(day, (key % 7).cast("int")), "yyyy-MM-dd"))
+    return table(spark, sf_dir, "orders").select(
+        "o_orderkey", dates.day_column_date(header, week_ending).alias("work_date"), dates.day_column_shift(header).alias("shift_type")
     )
 
 
@@ -242,25 +253,47 @@ def q_numeric_cleanup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select("p_partkey", txt.alias("txt")).withColumn("cleaned", money.numeric_cleanup(F.col("txt")))
 
 
-_UNITS = [("HRS", "HR"), (" per  hour ", "HR"), ("Total", None), ("pallet", "pallet"), (None, None), ("Sq M", "M2"), ("n/a", None), ("Lump Sum", "LOT")]
+_UNITS = [
+    ("HRS", "HR"), (" per  hour ", "HR"), ("Total", None), ("pallet", "pallet"), (None, None), ("Sq M", "M2"), ("n/a", None), ("Lump Sum", "LOT"),
+    ("hourly", "HR"), ("/hour", "HR"), ("Days", "DAY"), ("P/D", "DAY"), ("each", "EA"), ("Pcs", "EA"), ("No.", "EA"), ("lo", "LOT"), ("WKS", "WK"),
+    ("monthly", "MTH"), ("mo", "MTH"), ("Tonnes", "T"), ("mt", "T"), ("kgs", "KG"), ("LB", "LB"), ("Litres", "L"), ("ml", "ML"), ("kilolitre", "KL"),
+    ("metres", "M"), ("KM", "KM"), ("mm", "MM"), ("cum", "M3"), ("rol", "ROLL"), ("Shifts", "SHIFT"), ("0.0", None), ("fifo", None), ("-", None), ("box of 10", "box of 10"),
+]
 
 
 @query(f"""
 SELECT p_partkey, orig_uom, uom FROM part
-JOIN (VALUES {_values([(i, *u) for i, u in enumerate(_UNITS)])}) v(k, orig_uom, uom) ON p_size % 8 = k
+JOIN (VALUES {_values([(i, *u) for i, u in enumerate(_UNITS)])}) v(k, orig_uom, uom) ON p_partkey % {len(_UNITS)} = k
 """)
 def q_uom_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = F.get(F.array(*[F.lit(u[0]).cast("string") for u in _UNITS]), F.col("p_size") % 8)
+    raw = F.get(F.array(*[F.lit(u[0]).cast("string") for u in _UNITS]), (F.col("p_partkey") % len(_UNITS)).cast("int"))
     rows = table(spark, sf_dir, "part").select("p_partkey", raw.alias("orig_uom"))
     return uom.with_uom_code(rows, "orig_uom")
 
 
+_PRICE_UNIT = [("$/hr", "Hour"), (" Per Day", "Day"), ("wk", "Week"), ("p.a.x", "p.a.x"), ("pa", "Year"), ("EA", "Each"), ("$/t", "Tonne"), ("fixed", "Lump Sum"), ("sqm", "Square Metre"), (None, None)]
+
+
+@query(f"""
+SELECT p_partkey, unit FROM part JOIN (VALUES {_values([(i, u[1]) for i, u in enumerate(_PRICE_UNIT)])}) v(k, unit) ON p_partkey % {len(_PRICE_UNIT)} = k
+""")
+def q_price_unit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = F.get(F.array(*[F.lit(u[0]).cast("string") for u in _PRICE_UNIT]), (F.col("p_partkey") % len(_PRICE_UNIT)).cast("int"))
+    return table(spark, sf_dir, "part").select("p_partkey", uom.price_unit(raw).alias("unit"))
+
+
 @query(r"""
 SELECT doc_id,
   CASE WHEN regexp_matches(text, '\b(AUD|USD|EUR|GBP|NZD|CAD|SGD|HKD|JPY|CNY|INR)\b') THEN regexp_extract(text, '\b(AUD|USD|EUR|GBP|NZD|CAD|SGD|HKD|JPY|CNY|INR)\b', 1)
        WHEN regexp_matches(text, '[Aa]ustralian\s+[Dd]ollars?') THEN 'AUD' WHEN regexp_matches(text, 'US\s+[Dd]ollars?') THEN 'USD'
        WHEN regexp_matches(text, '[Ss]terling|[Pp]ounds?\s+[Ss]terling') THEN 'GBP' ELSE '' END AS currency,
-  CASE """ + " ".join(f"WHEN regexp_matches(text, '{p}') THEN '{u}'" for p, u in pricing_text.UNIT_PATTERNS) + """ ELSE '' END AS uom
+  CASE WHEN regexp_matches(text, '\$/\s*hr|per\s+hour|hourly') THEN 'Hour' WHEN regexp_matches(text, '\$/\s*day|per\s+day|daily') THEN 'Day'
+       WHEN regexp_matches(text, '\$/\s*week|per\s+week|weekly') THEN 'Week' WHEN regexp_matches(text, '\$/\s*month|per\s+month|monthly') THEN 'Month'
+       WHEN regexp_matches(text, '\$/\s*year|per\s+annum|annual') THEN 'Year' WHEN regexp_matches(text, 'per\s+ton(ne)?|\$/t\b') THEN 'Tonne'
+       WHEN regexp_matches(text, 'per\s+k(g|ilogram)') THEN 'Kilogram' WHEN regexp_matches(text, 'per\s+unit|each|per\s+item') THEN 'Each'
+       WHEN regexp_matches(text, 'per\s+met(re|er)|\$/m\b') THEN 'Metre' WHEN regexp_matches(text, 'per\s+(sq\s*m|m2|square\s+met)') THEN 'Square Metre'
+       WHEN regexp_matches(text, 'lump\s+sum|fixed\s+(fee|price)') THEN 'Lump Sum' WHEN regexp_matches(text, 'per\s+trip') THEN 'Trip'
+       WHEN regexp_matches(text, 'per\s+shift') THEN 'Shift' WHEN regexp_matches(text, 'per\s+lot') THEN 'Lot' ELSE '' END AS uom
 FROM (SELECT doc_id, text || CASE doc_id % 7 WHEN 0 THEN ' payable in AUD, per hour' WHEN 1 THEN ' US dollars per square metre' WHEN 2 THEN ' a lump sum' ELSE '' END AS text FROM documents)
 """)
 def q_detect_currency(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -273,30 +306,33 @@ def q_detect_currency(spark: SparkSession, sf_dir: str) -> DataFrame:
 _LABELS = [
     ("Effective Date:", "VALID_FROM"), ("Expiry date (inclusive)", "VALID_TO"), ("Contract No.", "CONTRACT_ID"), ("Payment Currency", "CURRENCY"),
     ("Supplier", "COMPANY_CODE"), ("Scope of work", None), ("Agreement reference", "CONTRACT_ID"), ("EXPIRES", "VALID_TO"), ("Dated", "VALID_FROM"),
-    ("Organisation", "COMPANY_CODE"), ("", None),
+    ("Organisation", "COMPANY_CODE"), ("", None), ("(Contract No. inside)", None), ("valid until:", "VALID_TO"), ("undated", None),
 ]
 
 
-@query(f"SELECT * FROM (VALUES {_values(_LABELS)}) v(label, field)")
+@query(f"""
+SELECT p_partkey, field FROM part JOIN (VALUES {_values([(i, x[1]) for i, x in enumerate(_LABELS)])}) v(k, field) ON p_partkey % {len(_LABELS)} = k
+""")
 def q_kv_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = spark.createDataFrame([(x[0],) for x in _LABELS], "label string")
-    return rows.select("label", pricing_text.label_field(F.col("label")).alias("field"))
-
-
-_COLUMNS = [
-    ("Dayshift AUD", "price", "Dayshift", "AUD"), ("Rate ($/hr)", "price", "", ""), ("Premium Cost AUD", "price", "Premium", "AUD"),
-    ("Night Rate", "price", "Night", ""), ("Description", "ITEM_DESCRIPTION", "Description", ""), ("Unit of Measure", "ORDER_UOM", "Unit of Measure", ""),
-    ("Qty", "TARGET_QUANTITY", "Qty", ""), ("Maximum", "MAX_RATE", "Maximum", ""), ("USD", "price", "", "USD"), ("Unit Cost", "price", "Unit", ""),
-    ("Comments", None, "Comments", ""),
-]
+    label = F.get(F.array(*[F.lit(x[0]) for x in _LABELS]), (F.col("p_partkey") % len(_LABELS)).cast("int"))
+    shown = F.when(F.col("p_size") % 2 == 0, F.upper(label)).otherwise(F.concat(F.lit(" "), "p_name", F.lit(" "), label))
+    return table(spark, sf_dir, "part").select("p_partkey", pricing_text.label_field(shown).alias("field"))
 
 
-@query(f"SELECT * FROM (VALUES {_values(_COLUMNS)}) v(header, kind, qualifier, currency)")
+@query("""
+WITH p AS (SELECT p_partkey, p_size % 7 AS k, split_part(p_name, ' ', 1) AS w FROM part)
+SELECT p_partkey, CASE WHEN k IN (0, 1, 5) THEN 'price' WHEN k = 2 THEN 'TARGET_QUANTITY' WHEN k = 3 THEN 'ITEM_DESCRIPTION' WHEN k = 6 THEN 'MAX_RATE' END AS kind,
+       CASE k WHEN 0 THEN w WHEN 1 THEN w WHEN 2 THEN 'Qty ' || w WHEN 3 THEN w || ' Description' WHEN 4 THEN w || ' comments' WHEN 5 THEN '' ELSE 'Maximum ' || w END AS qualifier,
+       CASE k WHEN 0 THEN 'AUD' WHEN 5 THEN 'USD' ELSE '' END AS currency, k = 0 OR k = 5 AS currency_header
+FROM p
+""")
 def q_price_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    h = F.col("header")
-    return spark.createDataFrame([(x[0],) for x in _COLUMNS], "header string").select(
-        "header", F.when(pricing_text.is_price_header(h), "price").otherwise(pricing_text.header_field(h)).alias("kind"),
-        pricing_text.price_qualifier(h).alias("qualifier"), pricing_text.header_currency(h).alias("currency"),
+    word, key = F.split("p_name", " ")[0], F.col("p_size") % 7
+    texts = [(word, " AUD"), (word, " Rate ($/hr)"), ("Qty ", word), (word, " Description"), (word, " comments"), ("usd", ""), ("Maximum ", word)]
+    h = F.get(F.array(*[F.concat(*[F.lit(x) if isinstance(x, str) else x for x in t]) for t in texts]), key.cast("int"))
+    return table(spark, sf_dir, "part").select(
+        "p_partkey", F.when(pricing_text.is_price_header(h), "price").otherwise(pricing_text.header_field(h)).alias("kind"),
+        pricing_text.price_qualifier(h).alias("qualifier"), pricing_text.header_currency(h).alias("currency"), pricing_text.is_currency_header(h).alias("currency_header"),
     )
 
 
@@ -339,17 +375,43 @@ def q_interval_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return intervals.cover(rows, ["l_suppkey"], ["rn"], "section_type", "start_page", "end_page", 100000)
 
 
-@query("""
-WITH f AS (SELECT *, event_type IS DISTINCT FROM lag(event_type) OVER w AS starts FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
-i AS (SELECT *, sum(CAST(starts AS INTEGER)) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS island FROM f)
-SELECT user_id, event_type, count(*) AS n, arg_min(event_id, (ts, event_id)) AS first_event, arg_max(event_id, (ts, event_id)) AS last_event
-FROM i GROUP BY user_id, island, event_type
+_RUN_ROWS = """
+  SELECT l_suppkey, rn * 3 AS s, rn * 3 + CASE WHEN l_linenumber % 4 = 0 THEN 1 ELSE 2 END AS e, l_returnflag AS kind, l_linestatus AS name FROM (
+    SELECT *, row_number() OVER (PARTITION BY l_suppkey ORDER BY l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag,
+           l_linestatus, l_shipdate) AS rn FROM {0})"""
+
+
+@query(f"""
+WITH r AS ({_RUN_ROWS.format("lineitem")}),
+f AS (SELECT *, NOT coalesce(kind = lag(kind) OVER w AND name = lag(name) OVER w AND s <= lag(e) OVER w + 1, false) AS starts FROM r WINDOW w AS (PARTITION BY l_suppkey ORDER BY s)),
+i AS (SELECT *, sum(CAST(starts AS INTEGER)) OVER (PARTITION BY l_suppkey ORDER BY s) AS island FROM f)
+SELECT l_suppkey, CAST(min(s) AS INTEGER) AS s, CAST(max(e) AS INTEGER) AS e, kind, name FROM i GROUP BY l_suppkey, island, kind, name
 """)
 def q_merge_adjacent(spark: SparkSession, sf_dir: str) -> DataFrame:
-    runs = intervals.merge_runs(table(spark, sf_dir, "events"), ["user_id"], ["ts", "event_id"], ["event_type"])
-    return runs.groupBy("user_id", "island", "event_type").agg(
-        F.count(F.lit(1)).alias("n"), F.min_by("event_id", F.struct("ts", "event_id")).alias("first_event"), F.max_by("event_id", F.struct("ts", "event_id")).alias("last_event")
-    ).drop("island")
+    rows = spark.sql(_RUN_ROWS.format("{lineitem}"), lineitem=table(spark, sf_dir, "lineitem")).withColumns({"s": F.col("s").cast("int"), "e": F.col("e").cast("int")})
+    return intervals.merge_adjacent(rows, ["l_suppkey"], "s", "e", "kind", "name")
+
+
+@query("""
+WITH r AS (SELECT p_partkey, p_size, split_part(p_name, ' ', 1) AS a, split_part(p_name, ' ', 2) AS n, CAST(floor(p_retailprice) AS INTEGER) AS p FROM part)
+SELECT p_partkey, n || ' - Day' AS description, CAST(p AS VARCHAR) AS price, 'AUD' AS currency, 0 AS ord FROM r WHERE p_size % 3 = 0
+UNION ALL SELECT p_partkey, n || ' - ' || a, CAST(p + 1 AS VARCHAR), '', 1 FROM r WHERE p_size % 3 = 0 AND p_size % 2 = 0
+UNION ALL SELECT p_partkey, n, CASE WHEN p_size % 2 = 0 THEN CAST(p AS VARCHAR) ELSE '' END, '', 0 FROM r WHERE p_size % 3 = 1
+UNION ALL SELECT p_partkey, n, CAST(p AS VARCHAR), '', 0 FROM r WHERE p_size % 3 = 2
+""")
+def q_price_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kind, price = F.col("p_size") % 3, F.col("p_retailprice").cast("int")
+    adjective, noun = F.split("p_name", " ")[0], F.split("p_name", " ")[1]
+    even = F.col("p_size") % 2 == 0
+    text = lambda c: c.cast("string")
+    headers = F.when(kind == 0, F.array(F.lit("Role"), F.lit("Day AUD"), F.concat(adjective, F.lit(" Rate")))).when(kind == 1, F.array(F.lit("Item"), F.lit("Rate")))
+    row = F.when(kind == 0, F.array(noun, text(price), F.when(even, text(price + 1)).otherwise(F.lit(" ")))).when(
+        kind == 1, F.array(noun, F.when(even, text(price)))
+    )
+    tables = table(spark, sf_dir, "part").select(
+        "p_partkey", headers.otherwise(F.array(F.lit("Item"), F.lit("Notes"))).alias("headers"), row.otherwise(F.array(noun, text(price))).alias("row")
+    )
+    return reshape.price_rows(tables, ["p_partkey"])
 
 
 @query("""
@@ -361,3 +423,23 @@ FROM b
 """)
 def q_nonmonotonic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return intervals.flag_unreliable(table(spark, sf_dir, "events"), ["user_id"], ["ts", "event_id"], "value").select("user_id", "event_id", "unreliable", "run_id")
+
+
+@query("""
+WITH r AS (SELECT l_suppkey, CAST(rn AS INTEGER) AS rn, CAST(rn * 4 + CASE WHEN l_linenumber = 3 THEN -9 ELSE 0 END AS INTEGER) AS s FROM (
+  SELECT *, row_number() OVER (PARTITION BY l_suppkey ORDER BY l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) AS rn FROM lineitem)),
+f AS (SELECT *, coalesce(s < lag(s) OVER (PARTITION BY l_suppkey ORDER BY rn), false) AS bad FROM r),
+g AS (SELECT *, bad AND NOT coalesce(lag(bad) OVER (PARTITION BY l_suppkey ORDER BY rn), false) AS begins, CASE WHEN NOT bad THEN s END AS good FROM f),
+h AS (SELECT *, CASE WHEN bad THEN sum(CAST(begins AS INTEGER)) OVER (PARTITION BY l_suppkey ORDER BY rn) ELSE 0 END AS run,
+             last_value(good IGNORE NULLS) OVER (PARTITION BY l_suppkey ORDER BY rn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) + 1 AS low,
+             coalesce(first_value(good IGNORE NULLS) OVER (PARTITION BY l_suppkey ORDER BY rn ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) - 1, 100000) AS high FROM g),
+i AS (SELECT *, row_number() OVER (PARTITION BY l_suppkey, run ORDER BY rn) AS nth, count(*) OVER (PARTITION BY l_suppkey, run) AS n FROM h)
+SELECT l_suppkey, rn, CAST(CASE WHEN bad THEN least(low + nth * greatest(1, floor((high - low + 1) / (n + 1))), greatest(high, low)) ELSE s END AS INTEGER) AS s, bad AS unreliable
+FROM i
+""")
+def q_repair_starts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.sql(_RUN_ROWS.format("{lineitem}").replace("SELECT l_suppkey,", "SELECT l_linenumber, l_suppkey,", 1), lineitem=table(spark, sf_dir, "lineitem"))
+    starts = rows.select(
+        "l_suppkey", (F.col("s") / 3).cast("int").alias("rn"), ((F.col("s") / 3).cast("int") * 4 + F.when(F.col("l_linenumber") == 3, -9).otherwise(0)).alias("s")
+    )
+    return intervals.repair_starts(starts, ["l_suppkey"], ["rn"], "s", F.lit(100000)).select("l_suppkey", "rn", "s", "unreliable")

@@ -15,11 +15,15 @@ _ALL = "l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedpr
 
 @query(f"""
 SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem
-QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY CASE WHEN l_returnflag = 'R' THEN 0 ELSE 1 END, {_ALL}) = 1
+QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber, CAST(l_quantity AS INTEGER) % 3 ORDER BY CASE WHEN l_returnflag = 'R' THEN 0 ELSE 1 END, {_ALL}) = 1
 """)
 def q_invoice_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    order = [F.when(F.col("l_returnflag") == "R", 0).otherwise(1), *[F.col(c) for c in _ALL.split(", ")]]
-    return dedupe.first_per_key(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"], order).select("l_orderkey", "l_linenumber", "l_partkey")
+    item = F.concat(F.lit("Item "), "l_orderkey")
+    rows = table(spark, sf_dir, "lineitem").withColumns(
+        {"item": F.when(F.col("l_partkey") % 2 == 0, F.upper(item)).otherwise(F.concat(item, F.lit(" "))), "amount": F.col("l_quantity").cast("int") % 3}
+    )
+    kept = dedupe.invoice_dedupe(rows, "item", ["l_linenumber", "amount"], F.col("l_returnflag") == "R", _ALL.split(", "))
+    return kept.select("l_orderkey", "l_linenumber", "l_partkey")
 
 
 @query("""
@@ -157,7 +161,20 @@ def q_name_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedupe.name_clusters(table(spark, sf_dir, "part"), "p_name")
 
 
-@query()
+@query("""
+WITH RECURSIVE s AS (
+  SELECT split_part(p_name, ' ', 1) AS first, p_name, row_number() OVER (PARTITION BY split_part(p_name, ' ', 1) ORDER BY p_name) AS rn, cs
+  FROM (SELECT p_name, coalesce(list(DISTINCT p_brand) FILTER (p_size <= 3), []) AS cs FROM part GROUP BY p_name)
+), r AS (
+  SELECT DISTINCT first, CAST(0 AS BIGINT) AS rn, CAST([] AS VARCHAR[][]) AS taken, CAST(NULL AS VARCHAR) AS p_name, CAST(NULL AS INTEGER) AS subgroup FROM s
+  UNION ALL
+  SELECT first, rn, CASE WHEN pos = 0 THEN list_append(taken, cs) ELSE list_concat(list_append(taken[1:pos - 1], list_concat(taken[pos], cs)), taken[pos + 1:]) END, p_name,
+         CAST(CASE WHEN pos = 0 THEN len(taken) ELSE pos - 1 END AS INTEGER)
+  FROM (SELECT r.first, s.rn, r.taken, s.cs, s.p_name, coalesce(list_position(list_transform(r.taken, lambda t: NOT list_has_any(t, s.cs)), true), 0) AS pos
+        FROM r JOIN s ON s.first = r.first AND s.rn = r.rn + 1)
+)
+SELECT first, p_name, subgroup FROM r WHERE rn > 0
+""")
 def q_cooccurrence_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = table(spark, sf_dir, "part").select("p_name", F.when(F.col("p_size") <= 3, F.col("p_brand")).alias("brand"))
     sets = dedupe.contract_sets(parts, "p_name", "brand")

@@ -5,9 +5,11 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from quillmill.sources.workbook import read_workbooks, sheet_table
+
 #: Name parts of files a review scan leaves out.
 DERIVED = ("_field_mapping", "_mapping_review", "_combined")
 #: Keys that precomputed sections need.
@@ -71,26 +73,66 @@ def read_pdf_pages(spark: SparkSession, path: str, dpi: int = 150) -> DataFrame:
     return files.select("path", "content").mapInPandas(pages, "document_id string, page_number int, image binary, width int, height int, text string")
 
 
-def read_text_table(spark: SparkSession, path: str, required: tuple[str, ...] = ()) -> DataFrame:
-    """A CSV table of trimmed strings, blanks empty, with FILE_NAME; missing required columns are an error."""
-    df = spark.read.option("header", True).option("inferSchema", False).csv(path)
-    missing = [c for c in required if c not in df.columns]
+def _named(df: DataFrame, columns: list[str], path: Column, required: tuple[str, ...]) -> DataFrame:
+    """Trimmed text, blanks empty, and FILE_NAME; missing required columns are an error."""
+    missing = [c for c in required if c not in columns]
     if missing:
         raise ValueError(f"missing columns: {missing}")
-    name = F.regexp_replace(F.regexp_extract(F.input_file_name(), r"([^/]+)$", 1), r"(_pricing)?\.[^.]+$", "")
-    return df.select(*[F.coalesce(F.trim(c), F.lit("")).alias(c) for c in df.columns], F.concat(name, F.lit(".pdf")).alias("FILE_NAME"))
+    name = F.regexp_replace(F.regexp_extract(path, r"([^/]+)$", 1), r"(_pricing)?\.[^.]+$", "")
+    return df.select(*[F.coalesce(F.trim(F.col(f"`{c}`")), F.lit("")).alias(c) for c in columns], F.concat(name, F.lit(".pdf")).alias("FILE_NAME"))
 
 
-def read_index_sheet(spark: SparkSession, path: str) -> DataFrame:
-    """series, date, value, pos out of a wide CSV sheet: names in the first row (series_<i> where blank), dates in the first column."""
-    rows = spark.read.option("header", False).option("inferSchema", False).csv(path)
-    names = rows.first()
-    columns = rows.columns[1:]
+def read_text_table(spark: SparkSession, path: str, required: tuple[str, ...] = ()) -> DataFrame:
+    """Items as a table of trimmed strings, blanks empty, with FILE_NAME: CSV, JSON (arrays of objects) or workbooks, by the path's ending.
+
+    A path without one of these endings is read as CSV. Of workbooks the columns are those of all first rows.
+    """
+    if path.endswith(".json"):
+        df = spark.read.option("multiLine", True).option("primitivesAsString", True).json(path)
+        return _named(df, df.columns, F.col("_metadata.file_path"), required)
+    if path.endswith(".xlsx"):
+        rows = read_workbooks(spark, path)
+        heads = rows.filter("row_no = 0").select(F.explode("cells").alias("c")).filter("c is not null").distinct()
+        columns = sorted(r["c"] for r in heads.collect())  # names of columns
+        return _named(sheet_table(rows, columns), columns, F.col("file"), required)
+    df = spark.read.option("header", True).option("inferSchema", False).csv(path)
+    return _named(df, df.columns, F.input_file_name(), required)
+
+
+#: Rows of an index sheet among which its first date is looked for, and the sheet that is taken if there is one of the name.
+INDEX_ROWS, INDEX_SHEET = 20, "Data1"
+
+
+def _date(text: Column) -> Column:
+    return F.coalesce(*[F.try_to_date(F.trim(text), f) for f in ("yyyy-M-d", "d/M/yyyy", "MMM-yyyy", "MMM yyyy")])
+
+
+def index_rows(rows: DataFrame) -> DataFrame:
+    """series, date, value, pos out of a sheet (row_no, cells): names in the first row (series_<i> where blank), rows from the
+    first date on, undated ones left out, numbers that are none null. No date among the first INDEX_ROWS rows is an error."""
+    dated = rows.withColumn("date", _date(F.get("cells", F.lit(0))))
+    first = dated.filter(F.col("date").isNotNull() & (F.col("row_no") < INDEX_ROWS)).agg(F.min("row_no")).first()[0]
+    if first is None:
+        raise ValueError(f"no date among the first {INDEX_ROWS} rows")
+    names = rows.filter("row_no = 0").first()["cells"][1:]
+    names += [None] * (rows.agg(F.max(F.size("cells"))).first()[0] - 1 - len(names))
     entries = F.array(
-        *[F.struct(F.lit(names[c] or f"series_{i}").alias("series"), F.lit(i).alias("pos"), F.col(c).try_cast("double").alias("value")) for i, c in enumerate(columns, 1)]
+        *[F.struct(F.lit((n or "").strip() or f"series_{i}").alias("series"), F.lit(i).alias("pos"), F.get("cells", F.lit(i)).try_cast("double").alias("value")) for i, n in enumerate(names, 1)]
     )
-    dated = rows.withColumn("date", F.coalesce(F.try_to_date(rows.columns[0], "yyyy-M-d"), F.try_to_date(rows.columns[0], "d/M/yyyy")))
-    return dated.filter("date is not null").select("date", F.inline(entries)).select("series", "date", "value", "pos")
+    return dated.filter((F.col("row_no") >= first) & F.col("date").isNotNull()).select("date", F.inline(entries)).select("series", "date", "value", "pos")
+
+
+def read_index_sheet(spark: SparkSession, path: str) -> DataFrame:
+    """series, date, value, pos out of a wide index sheet: CSV, or the sheet Data1 (else the first) of a workbook."""
+    if path.endswith(".xlsx"):
+        rows = read_workbooks(spark, path)
+        best = rows.agg(F.min(F.struct((F.col("sheet") != INDEX_SHEET).alias("other"), "sheet_no"))).first()[0]
+        return index_rows(rows.filter(F.col("sheet_no") == best["sheet_no"]))
+    text = spark.read.option("wholetext", True).text(path)  # an index is a row a month
+    lines = text.select(F.posexplode(F.split("value", "\r?\n")).alias("row_no", "line")).filter("line <> ''")
+    width = spark.read.option("header", False).option("inferSchema", False).csv(path).columns
+    parsed = F.from_csv("line", F.lit(", ".join(f"{c} string" for c in width)))
+    return index_rows(lines.select("row_no", F.array(*[parsed[c] for c in width]).alias("cells")))
 
 
 def series_names(index: DataFrame) -> DataFrame:

@@ -14,8 +14,9 @@ def test_settings(tmp_path, monkeypatch):
 
 
 def test_counters(spark):
-    maps = spark.createDataFrame([("a", "A", "A"), ("b", "b", "A")], "raw string, cleaned string, final string")
-    assert tuple(counters.reconcile_counters(maps).first()) == (2, 2, 1, 1, 1)
+    maps = spark.createDataFrame([("a", "A", "A", "A"), ("b", "b", "A", "A"), ("b", "b", "A", "A")], "raw string, cleaned string, merged string, final string")
+    assert tuple(counters.reconcile_counters(maps).first()) == (3, 2, 2, 1, 1, 1, 1, 0, 2)
+    maps = maps.limit(2)
     entries = spark.createDataFrame([("d", 1), ("d", None), ("d", 3)], "d string, page int")
     assert counters.page_mapping_coverage(entries, "page", ["d"]).first()["pct"] == 66.67
     adjusted = spark.createDataFrame([("p",), ("p",)], "period_id string")

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from quillmill.functions import dates, money, pages, pricing_text, text
 from quillmill.operators import content, dedupe, index_series, intervals, mapping, quality, reshape, tree, validity
-from quillmill.plans import cpi, pricing, provider, rules
-from quillmill.sources import documents, sinks
+from quillmill.plans import cpi, pricing, provider, rules, run_log
+from quillmill.sources import documents, sinks, workbook
 from quillmill.streaming import ingest
 
 D = dt.date
@@ -88,10 +88,27 @@ def test_as_of_property(spark):
     index = sorted({D(rng.randint(2000, 2009), rng.randint(1, 12), 1) for _ in range(25)})
     values = [(d, None if i % 5 == 0 else float(i)) for i, d in enumerate(index)]
     asks = [(i, D(rng.randint(1999, 2011), rng.randint(1, 12), rng.randint(1, 28))) for i in range(200)]
-    out = index_series.as_of(spark.createDataFrame(asks, "k int, d date"), "d", spark.createDataFrame(values, "m date, v double"), "m", "v", "k", "fd", "fv").collect()
+    asks += [(200, None), (0, D(2005, 1, 1))]  # repeated keys, no date
+    out = index_series.as_of(spark.createDataFrame(asks, "k int, d date"), "d", spark.createDataFrame(values, "m date, v double"), "m", "v", "fd", "fv").collect()
+    assert len(out) == len(asks)
     for r in out:
-        earlier = [(m, v) for m, v in values if m <= r["d"].replace(day=1)]
+        earlier = [(m, v) for m, v in values if r["d"] and m <= r["d"].replace(day=1)]
         assert (r["fd"], r["fv"]) == (earlier[-1] if earlier else (None, None))
+    odd = [(D(2001, 1, 15), 1.0, "a"), (D(2001, 3, 1), 2.0, "a"), (D(2001, 3, 20), 3.0, "a"), (D(2001, 1, 1), 9.0, "b")]  # inside months; two series
+    pairs = [(D(2001, 1, 31), "a"), (D(2001, 2, 1), "a"), (D(2001, 3, 31), "a"), (D(2009, 1, 1), "a"), (D(2001, 2, 1), "b"), (D(2001, 2, 1), "c"), (D(2001, 2, 1), None)]
+    got = index_series.as_of(
+        spark.createDataFrame(pairs, "d date, s string"), "d", spark.createDataFrame(odd, "m date, v double, s string"), "m", "v", "fd", "fv", "s", "s"
+    ).collect()
+    assert {(r["d"], r["s"]): r["fv"] for r in got} == dict(zip(pairs, (None, 1.0, 2.0, 3.0, 9.0, None, None), strict=True))
+
+
+def test_as_of_does_not_shuffle_the_facts(spark):
+    facts = spark.range(0, 300_000, 1, 4).select("id", F.lit("2024-05-05").cast("date").alias("d"))  # one hot date
+    index = spark.createDataFrame([(D(2024, m, 1), float(m)) for m in range(1, 7)], "m date, v double")
+    out = index_series.as_of(facts, "d", index, "m", "v", "fd", "fv")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastHashJoin") == 2 and "SortMergeJoin" not in plan
+    assert out.agg(F.sum("fv")).first()[0] == 5.0 * 300_000
 
 
 def test_price_rows(spark):
@@ -129,6 +146,9 @@ def test_content_rewrites():
     assert content.level_siblings([{"type": "subsection", "heading": "1 A", "content": [{"type": "subsection", "heading": "2 B", "content": []}]}]) == [
         {"type": "subsection", "heading": "1 A", "content": []}, {"type": "subsection", "heading": "2 B", "content": []}
     ]
+    deep = {"type": "subsection", "heading": "1.1 C", "heading_level": "2", "content": [{"type": "subsection", "heading": "x", "heading_level": "1", "content": []}]}
+    top = {"type": "subsection", "heading": "1 A", "heading_level": "1", "content": [{"type": "subsection", "heading": " ", "heading_level": "1", "content": []}, deep]}
+    assert content.level_siblings([top]) == [top]  # a blank heading does not count, nor what is lifted further down
     p = lambda t: {"type": "paragraph", "text": t}
     s = lambda h, *c: {"type": "subsection", "heading": h, "content": list(c)}
     assert content.merge_batches([[s("S", p("x"))], [p("y"), s("T"), p("z")]]) == [s("S", p("x"), p("y")), s("T"), p("z")]
@@ -136,7 +156,11 @@ def test_content_rewrites():
     assert content.drop_repeats([p("x"), p("x"), s("S", p("x"))]) == [p("x"), s("S", p("x"))]
     old = {"heading": "H", "body": ["b"], "tables": [{"headers": ["a"], "rows": []}], "text": "t"}
     assert [b["type"] for b in content.normalise(old)[0]["content"]] == ["paragraph", "paragraph", "table"]
-    assert content.prune({"a": "", "b": {"c": None}, "d": [{}, 1]}) == {"d": [1]}
+    assert content.prune({"a": "", "b": {"c": None}, "d": [{}, 1, ""]}) == {"a": "", "b": {}, "d": [1]}
+    assert content.prune({"n": 1}) == {} and content.prune({"n": 1}, typed=False) == {"n": 1}
+    assert content.prune([{"type": "table", "rows": []}, {"text": ""}]) == [{"type": "table", "rows": []}] and content.prune([{"type": "", "rows": []}], typed=False) == []
+    assert content.mostly_empty({}) and content.mostly_empty({"a": " ", "b": {"c": None}, "d": 1}) and not content.mostly_empty({"a": 1, "b": ""})
+    assert content.field_counts({"a": "", "b": [1, {}], "c": {"d": "x"}}) == (4, 2)
     assert [content.numbering_depth(h) for h in ("1.2 x", "(a) x", "x", "3")] == [2, 1, 0, 1]
 
 
@@ -153,6 +177,8 @@ def test_tables(spark):
     assert sorted((r["headers"], r["rows"]) for r in out) == [([], [["5"]]), (["A", "B"], [["1", "2"], ["3", "4"]])]
     fixed = tree.repair_headers(spark.createDataFrame([("d", 1, ["Title"], "", [["Item", "Rate"], ["x", "1"]]), ("d", 2, [], "", [["Item", "Rate"], ["x", "1"]])], schema)).collect()
     assert [r["headers"] for r in fixed] == [["Item", "Rate"]] * 2 and fixed[0]["caption"] == "Title"
+    price = tree.repair_headers(spark.createDataFrame([("d", 1, ["Rates"], "", [["Fitter", "100"], ["Welder", "120"]])], schema)).first()
+    assert price["headers"] == ["Rates"] and len(price["rows"]) == 2  # a row of prices is no header
     kv = tree.label_pairs(spark.createDataFrame([("d", 1, [], "", [["Effective Date: 1/1/2025", ""], ["Supplier", "Acme"], ["Vendor", "Other"]])], schema), ["d"])
     assert {r["field"]: r["value"] for r in kv.collect()} == {"VALID_FROM": "1/1/2025", "COMPANY_CODE": "Acme"}
 
@@ -161,7 +187,9 @@ def test_sections_of(spark):
     flat = json.dumps({"document_id": "a", "sections": [{"section_type": "x"}, {"section_type": "y"}]})
     bucketed = json.dumps({"zeta": [{"h": 1}], "alpha": [{"h": 2}, {"h": 3}], "note": "text"})
     out = tree.sections_of(spark.createDataFrame([("f", flat), ("b", bucketed)], "d string, js string"), "d", "js").collect()
-    assert sorted((r["d"], r["ord"], r["section_type"]) for r in out) == [("b", 1, "zeta"), ("b", 2, "alpha"), ("b", 3, "alpha"), ("f", 1, "x"), ("f", 2, "y")]
+    assert sorted((r["d"], r["ord"], r["section_type"], r["section_name"]) for r in out) == [
+        ("b", 1, "zeta", "Zeta"), ("b", 2, "alpha", "Alpha"), ("b", 3, "alpha", "Alpha"), ("f", 1, "x", "Unknown"), ("f", 2, "y", "Unknown")
+    ]
 
 
 def test_mapping_rules(spark):
@@ -174,15 +202,17 @@ def test_mapping_rules(spark):
 
 
 def test_cpi_plan(spark):
-    index = spark.createDataFrame([(D(2024, m, 1), 100.0 + 2 * i) for i, m in enumerate((1, 4, 7, 10))], "date date, value double")
-    prices = spark.createDataFrame([("r1", "steel bolt", "$100"), ("r2", "nut", "200")], "row_id string, item string, net_price string")
-    schema = "period_id string, period_start date, period_end date, frequency string, base_price double, base_index double, keyword string"
-    formulas = spark.createDataFrame([("p", D(2024, 1, 1), D(2024, 12, 31), "quarterly", None, None, "bolt"), ("q", D(2024, 1, 1), D(2024, 12, 31), "quarterly", 841.0, 130.2, "zzzz")], schema)
+    index = spark.createDataFrame([("cpi", D(2024, m, 1), 100.0 + 2 * i) for i, m in enumerate((1, 4, 7, 10))] + [("other", D(2024, 1, 1), 5.0)], "series string, date date, value double")
+    prices = spark.createDataFrame([("d", "r1", "steel bolt", "$100"), ("d", "r2", "nut", "200"), ("e", "r3", "bolt", "1")], "document_id string, row_id string, item string, net_price string")
+    schema = "document_id string, period_id string, period_start date, period_end date, frequency string, series string, base_price double, base_index double, keyword string"
+    formulas = spark.createDataFrame([("d", "p", D(2024, 1, 1), D(2024, 12, 31), "quarterly", "cpi", None, None, "bolt"), ("d", "q", D(2024, 1, 1), D(2024, 12, 31), "quarterly", "cpi", 841.0, 130.2, "zzzz")], schema)
     out = cpi.adjust_prices(prices, formulas, index).collect()
     rolled = sorted((r["valid_from"], round(r["price"], 2)) for r in out if r["period_id"] == "p")
     assert rolled == [(D(2024, 1, 1), 100.0), (D(2024, 4, 1), 102.0), (D(2024, 7, 1), 104.0), (D(2024, 10, 1), 106.0)]
     assert {r["row_id"] for r in out if r["period_id"] == "q"} == {"r1", "r2"}
-    assert max(r["valid_to"] for r in out) == D(2024, 12, 31)
+    assert max(r["valid_to"] for r in out) == D(2024, 12, 31) and {r["document_id"] for r in out} == {"d"}
+    label = cpi.adjustment_label(F.lit("cpi_ratio"), F.lit(841.0), F.lit(130.2), F.lit(137.4), F.lit(887.5069), F.lit("2024-01-01").cast("date"), F.lit("2024-12-31").cast("date"))
+    assert spark.range(1).select(label).first()[0] == "CPI Adjusted (cpi_ratio) | Po: 841.00 | CPIo: 130.2 | CPIn: 137.4 | Pn: 887.51 | Period: 01/01/2024-31/12/2024"
 
 
 def test_pricing_plan(spark):
@@ -214,6 +244,87 @@ def test_provider(spark):
     assert provider.repair_json('```json\n{"a": [1, 2,],}\n```') == {"a": [1, 2]}
     assert provider.repair_json('[{"a": 1}, {"a": {"b": 2}}, {"a": ') == [{"a": 1}, {"a": {"b": 2}}]
     assert provider.repair_json("nothing") is None
+    replies = iter(["no", '{"a": 1}', '```{"a": 1, "b": null, "c": 3}```'])
+    asked = provider.StructuredProvider(provider.RuleProvider(lambda _: next(replies)), ("a", "b"))
+    assert json.loads(asked.reply("x")) == {"a": 1, "b": None}
+    assert provider.StructuredProvider(provider.RuleProvider(lambda _: None), ("a",)).reply("x") is None
+
+
+def test_http_provider():
+    import threading
+    from http.server import BaseHTTPRequestHandler, HTTPServer
+
+    class Echo(BaseHTTPRequestHandler):
+        def do_POST(self):
+            said = json.loads(self.rfile.read(int(self.headers["Content-Length"])))
+            body = json.dumps({"out": [said["q"].upper(), self.headers["X-Key"]]}).encode()
+            self.send_response(200)
+            self.end_headers()
+            self.wfile.write(body)
+
+        def log_message(self, *_):
+            pass
+
+    server = HTTPServer(("127.0.0.1", 0), Echo)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    try:
+        asked = provider.HttpProvider(f"http://127.0.0.1:{server.server_port}/", lambda p: {"q": p}, lambda a: "/".join(a["out"]), {"X-Key": "k"}, 5)
+        assert asked.reply("hi") == "HI/k"
+    finally:
+        server.shutdown()
+    assert provider.RetryingProvider(asked, 1).reply("hi") is None
+
+
+def test_run_log(spark, tmp_path):
+    log = run_log.RunLog("r")
+    with log.step("read") as said:
+        said["rows"] = 3
+    with pytest.raises(ValueError), log.step("fail"):
+        raise ValueError("bad")
+    assert [(r["nth"], r["step"], r["rows"], r["error"]) for r in log.table(spark).orderBy("nth").collect()] == [(0, "read", 3, None), (1, "fail", None, "bad")]
+    assert "failed" in log.summary() and log.summary().startswith("run r")
+    run_log.logger("t", path=str(tmp_path / "x.log")).warning("said %s", "so")
+    assert "said so" in (tmp_path / "x.log").read_text() and len(run_log.logger("t").handlers) == 2
+
+
+def test_workbooks(spark, tmp_path):
+    frame = spark.createDataFrame([("a<b", 1, None), (" c", 2, 2.5)], "A string, B int, C double")
+    sinks.write_workbook({"One/Two": frame, "Empty": frame.limit(0)}, str(tmp_path / "w_pricing.xlsx"))
+    sinks.write_workbook({}, str(tmp_path / "none.xlsx"))
+    rows = workbook.read_workbooks(spark, str(tmp_path)).collect()
+    assert [(r["sheet"], r["row_no"], r["cells"]) for r in sorted(rows, key=lambda r: (r["sheet_no"], r["row_no"]))] == [
+        ("One_Two", 0, ["A", "B", "C"]), ("One_Two", 1, ["a<b", "1"]), ("One_Two", 2, [" c", "2", "2.5"]), ("Empty", 0, ["A", "B", "C"])
+    ]
+    got = documents.read_text_table(spark, str(tmp_path / "w_pricing.xlsx"), ("A", "B")).orderBy("B").collect()
+    assert [tuple(r) for r in got] == [("a<b", "1", "", "w.pdf"), ("c", "2", "2.5", "w.pdf")]
+    with pytest.raises(ValueError):
+        documents.read_text_table(spark, str(tmp_path / "w_pricing.xlsx"), ("Z",))
+    (tmp_path / "items.json").write_text('[{"A": 1, "B": " x "}, {"A": null}]')
+    assert sorted(tuple(r) for r in documents.read_text_table(spark, str(tmp_path / "items.json")).collect()) == [("", "", "items.pdf"), ("1", "x", "items.pdf")]
+    sheets = {"Note": [["x"]], "Data1": [["", "CPI Index Numbers", None], ["Unit", "Index"], ["2024-01-01", 100.5, "x"], [None, 7], ["2024-04-01", 101]]}
+    (tmp_path / "index.xlsx").write_bytes(workbook.workbook_bytes(sheets))
+    index = documents.read_index_sheet(spark, str(tmp_path / "index.xlsx")).orderBy("pos", "date").collect()
+    assert [(r["series"], r["date"], r["value"]) for r in index] == [
+        ("CPI Index Numbers", D(2024, 1, 1), 100.5), ("CPI Index Numbers", D(2024, 4, 1), 101.0), ("series_2", D(2024, 1, 1), None), ("series_2", D(2024, 4, 1), None)
+    ]
+    (tmp_path / "no.xlsx").write_bytes(workbook.workbook_bytes({"a": [["x"]] * 30}))
+    with pytest.raises(ValueError):
+        documents.read_index_sheet(spark, str(tmp_path / "no.xlsx"))
+    assert workbook._shown("45292", True) == "2024-01-01" and workbook._shown("1.50", False) == "1.5" and workbook.column_name(701) == "ZZ"
+
+
+def test_report_layouts(spark):
+    items = spark.createDataFrame([("C", "1", "x")], "CONTRACT_ID string, NET_PRICE string, extra string")
+    tables = spark.createDataFrame([("d", 1, "S", "cap", ["A", None], [["1"], ["2"]])], "document_id string, ord int, section string, caption string, headers array<string>, rows array<array<string>>")
+    frames = sinks.pricing_frames(items, tables)
+    assert frames["Pricing Data"].columns == list(sinks.PRICE_COLUMNS) and tuple(frames["Source Tables"].first()) == ("d", 1, "S", "cap", "A | ", 2)
+    checked = sinks.verification_frames(spark.createDataFrame([("CORRECT", "i", "why")], "verdict string, item string, reasoning string"), spark.createDataFrame([("d", 1)], "document_id string, n int"))
+    assert checked["Verification"].columns == ["item", "verdict", "reasoning"] and json.loads(checked["Summary"].first()["json"]) == {"document_id": "d", "n": 1}
+    review = spark.createDataFrame([("d", "t", None, "correct", 90, ["a", "b"], ["c"]), ("d", "u", "bad", None, None, None, None)], "document_id string, table_id string, error string, classification_verdict string, overall_accuracy_pct int, mapping_verdicts array<string>, value_verdicts array<string>")
+    assert {k: v.count() for k, v in sinks.mapping_review_frames(review, review.limit(1)).items()} == {"Summary": 1, "Classification": 1, "Mappings": 2, "Values": 1}
+    assert sinks.target_frames({"TblInvoice": spark.createDataFrame([(1, 2)], "zz int, uom int")}, {"TblInvoice": mapping.INVOICE})["TblInvoice"].columns == ["uom", "zz"]
+    blocks = spark.createDataFrame([("d", "1", 0, "table", "H", None, None, "cap", ["A"], [["1"]])], "document_id string, path string, depth int, block_type string, under string, heading string, text string, caption string, headers array<string>, rows array<array<string>>")
+    assert sinks.document_frames(blocks, blocks)["Tables"].first()["label"] == "Table 1: cap (from H)"
 
 
 def test_rules(spark):
@@ -272,11 +383,43 @@ def test_streams(spark, tmp_path):
     assert sorted(r["n"] for r in spark.read.parquet(str(tmp_path / "weekly")).collect()) == [1, 2]
 
 
-def test_flatten_blocks_beyond_the_row_limit(spark):
-    spark.conf.set("spark.sql.cteRecursionRowLimit", "20")
-    try:
-        blocks = [{"type": "subsection", "heading": str(i), "content": [{"type": "paragraph", "text": "p"}]} for i in range(30)]
-        docs = spark.createDataFrame([("d", json.dumps(blocks))], "id string, js string")
-        assert tree.flatten_blocks(spark, docs, "id", "js").count() == 60
-    finally:
-        spark.conf.unset("spark.sql.cteRecursionRowLimit")
+def test_flatten_more_than_a_million_blocks(spark):
+    docs = spark.range(0, 550_000, 1, 4).select("id", F.lit('[{"type":"subsection","heading":"h","content":["p"]}]').alias("js"))
+    flat = tree.flatten_blocks(spark, docs, "id", "js")
+    assert flat.groupBy("block_type", "under").count().orderBy("block_type").collect() == [("paragraph", "h", 550_000), ("subsection", None, 550_000)]
+
+
+def test_page_lists(spark):
+    cases = {"1-2000000000": list(range(1, 11)), "99999999999999-99999999999999999": [], "7-3": [7, 3], "0-2": [1, 2], "8 – 12": [8, 9, 10], "x": []}
+    assert column(spark, cases, lambda c: pages.page_list(c, F.lit(10))) == list(cases.values())
+
+
+def test_candidate_pairs_skip_common_words(spark):
+    names = [f"common word x{i} y{i}" for i in range(3000)] + ["common word x1 z", "common q"]
+    described = spark.createDataFrame([(n, [i]) for i, n in enumerate(names)], "n string, c array<int>")
+    got = {(r["name_a"], r["name_b"]): (r["shared"], r["smaller"]) for r in dedupe.candidate_pairs(described.filter("n like '%x1 %'"), "n", "c").collect()}
+    assert got == {("common word x1 y1", "common word x1 z"): (3, 4)}
+    three = spark.createDataFrame([(f"hot a{i} b{i}", [i]) for i in range(5000)], "n string, c array<int>")
+    assert dedupe.candidate_pairs(three, "n", "c").count() == 0
+
+
+def test_fuzzy_match(spark):
+    values = ["Labourer", "labourers", "Crane  Operator", "x", "boiler maker", ""]
+    found = ["Labourers", "Crane Operator", "Crane Operators", "X", "Boilermaker"]
+    out = dedupe.fuzzy_match(spark.createDataFrame([(v,) for v in values], "value string"), spark.createDataFrame([(c, i) for i, c in enumerate(found)], "candidate string, ord int"))
+
+    def lcs(a, b):
+        row = [0] * (len(b) + 1)
+        for x in a:
+            new = [0]
+            for j, y in enumerate(b, 1):
+                new.append(row[j - 1] + 1 if x == y else max(row[j], new[-1]))
+            row = new
+        return 2 * row[-1] / (len(a) + len(b))
+
+    want = {}
+    for v in values:
+        best = max(((lcs(v.lower().replace("  ", " "), c.lower()), -i, c) for i, c in enumerate(found)), default=None) if v else None
+        if best and best[0] >= 0.85:
+            want[v] = best[2]
+    assert {r["value"]: r["matched"] for r in out.collect()} == want and len(want) == 5
