@@ -42,11 +42,16 @@ def as_of(
     index rows of one date the largest value counts.
     """
     months = cut_lineage(by_month(index, index_date, index_value, index_series))
-    ends = maybe_broadcast(months.groupBy("_series").agg(F.max("_last").alias("_end")).withColumnRenamed("_series", "_s"))
-    own = F.col(series) if series else F.lit("")
-    asked = df.withColumn("_key", own).join(ends, F.col("_key") == F.col("_s"), "left").withColumn("_ask", F.least(F.trunc(F.col(date), "MM"), F.when(F.col(date).isNotNull(), F.col("_end"))))
-    found = maybe_broadcast(months.select(F.col("_series").alias("_s2"), "_month", "_found"))
-    return asked.join(found, (F.col("_key") == F.col("_s2")) & (F.col("_ask") == F.col("_month")), "left").select(
+    month = F.trunc(F.col(date), "MM")
+    found = maybe_broadcast(months.select(F.col("_series").alias("_s"), "_month", "_found"))
+    if series is None:
+        last = F.lit(months.agg(F.max("_last")).first()[0]).cast("date")
+        asked, same = df.withColumn("_ask", F.when(month.isNotNull(), F.least(month, last))), F.lit(True)
+    else:
+        ends = maybe_broadcast(months.groupBy(F.col("_series").alias("_e")).agg(F.max("_last").alias("_end")))
+        asked = df.join(ends, F.col(series) == F.col("_e"), "left").withColumn("_ask", F.when(month.isNotNull(), F.least(month, F.col("_end"))))
+        same = F.col(series) == F.col("_s")
+    return asked.join(found, same & (F.col("_ask") == F.col("_month")), "left").select(
         *[F.col(f"`{c}`") for c in df.columns], F.col("_found.d").alias(out_date), F.col("_found.v").alias(out_value)
     )
 
