@@ -181,6 +181,22 @@ def q_cooccurrence_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedupe.split_by_cooccurrence(sets.withColumn("first", F.split("p_name", " ")[0]), "first", "p_name", "contracts")
 
 
-@query()
+@query("""
+WITH w AS (SELECT p_partkey % 4 AS k, p_name, split_part(p_name, ' ', 1) AS a, split_part(p_name, ' ', 2) AS n FROM part),
+c AS (SELECT DISTINCT k, a, n, upper(a[1]) || a[2:] AS ca, upper(n[1]) || n[2:] AS cn FROM w),
+h AS (SELECT a, n, bool_or(k = 1) AS turned, bool_or(k = 2) AS kit FROM c GROUP BY a, n),
+m AS (SELECT k, c.a, c.n, turned, kit, CASE k WHEN 0 THEN a || ' ' || n WHEN 1 THEN n || ', ' || a WHEN 2 THEN a || ' ' || n || ' kit' ELSE 'mech. ' || n END AS raw,
+             CASE k WHEN 0 THEN ca || ' ' || cn WHEN 1 THEN cn || ', ' || ca WHEN 2 THEN ca || ' ' || cn || ' Kit' ELSE 'Mechanical ' || cn END AS cleaned,
+             CASE WHEN k = 0 AND turned THEN cn || ', ' || ca WHEN k = 0 THEN ca || ' ' || cn END AS own
+      FROM c JOIN h USING (a, n))
+SELECT DISTINCT raw, cleaned, coalesce(own, cleaned) AS merged, CASE WHEN k = 0 AND kit AND NOT turned THEN cleaned || ' Kit' ELSE coalesce(own, cleaned) END AS final FROM m
+""")
 def q_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reconcile.reconcile(table(spark, sf_dir, "part").select("p_name", F.concat("p_brand", F.lit("-"), "p_partkey").alias("contract")), "p_name", "contract")
+    """Names as they are, turned around, with a word more, and with an abbreviation; no two rows share a contract."""
+    words = F.split("p_name", " ")
+    key = F.col("p_partkey") % 4
+    raw = (
+        F.when(key == 0, F.col("p_name")).when(key == 1, F.concat(words[1], F.lit(", "), words[0])).when(key == 2, F.concat("p_name", F.lit(" kit")))
+        .otherwise(F.concat(F.lit("mech. "), words[1]))
+    )
+    return reconcile.reconcile(table(spark, sf_dir, "part").select(raw.alias("name"), F.concat("p_brand", F.lit("-"), "p_partkey").alias("contract")), "name", "contract")
