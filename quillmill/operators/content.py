@@ -13,6 +13,7 @@ from collections.abc import Callable, Iterator
 
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -207,17 +208,32 @@ def field_counts(value: object) -> tuple[int, int]:
     return 1, int(value is None or parts is not None or (isinstance(value, str) and not value.strip()))
 
 
+#: Bytes of JSON whose results a worker holds before it hands them on.
+CHUNK = 1 << 20
+
+
 def json_column(js: Column, f: Callable[[object], object], kind: str) -> Column:
-    """f of the parsed JSON of each row, batch by batch; null for null and malformed JSON."""
+    """f of the parsed JSON of each row, chunk by chunk; null for null and malformed JSON."""
 
     @F.arrow_udf(kind)
     def read(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            yield pa.array([_applied(f, text) for text in batch.to_pylist()], from_ddl(kind))
+            for texts in _chunks(batch):
+                yield pa.array([_applied(f, text) for text in texts], from_ddl(kind))
 
     return read(js)
 
 
+def _chunks(batch: pa.Array) -> Iterator[list[str | None]]:
+    """The texts of a batch in order, about CHUNK bytes at a time; a longer one by itself or last."""
+    begin = held = 0
+    for end, n in enumerate(pa.compute.binary_length(batch).fill_null(0).to_pylist(), 1):
+        held += n
+        if held >= CHUNK or end == len(batch):
+            yield batch[begin:end].to_pylist()
+            begin, held = end, 0
+
+
 def _applied(f: Callable[[object], object], text: str | None) -> object:
     try:
         value = json.loads(text) if text is not None else None
@@ -226,9 +242,13 @@ def _applied(f: Callable[[object], object], text: str | None) -> object:
     return None if text is None else f(value)
 
 
+_COUNTS = "struct<total:long,empty:long>"
+_ARROW = {"string": pa.string(), "boolean": pa.bool_(), "array<string>": pa.list_(pa.string()), _COUNTS: pa.struct([("total", pa.int64()), ("empty", pa.int64())])}
+
+
 def from_ddl(kind: str) -> pa.DataType:
     """The Arrow type of the few kinds that json_column() returns."""
-    return {"string": pa.string(), "boolean": pa.bool_(), "array<string>": pa.list_(pa.string()), "struct<total:long,empty:long>": pa.struct([("total", pa.int64()), ("empty", pa.int64())])}[kind]
+    return _ARROW[kind] if kind in _ARROW else pa.struct([(n, _ARROW[READERS[n][1]]) for n in re.findall(r"`(\w+)`:", kind)])
 
 
 #: What is read out of a section's JSON, by name: the function, and its type.
@@ -240,7 +260,7 @@ READERS: dict[str, tuple[Callable[[object], object], str]] = {
     "pruned": (lambda v: json.dumps(prune(v), ensure_ascii=False), "string"),
     "pruned_old": (lambda v: json.dumps(prune(v, typed=False), ensure_ascii=False), "string"),
     "mostly_empty": (lambda v: mostly_empty(v) if isinstance(v, dict) else None, "boolean"),
-    "field_counts": (lambda v: dict(zip(("total", "empty"), field_counts(v), strict=True)), "struct<total:long,empty:long>"),
+    "field_counts": (lambda v: dict(zip(("total", "empty"), field_counts(v), strict=True)), _COUNTS),
 }
 
 
@@ -248,6 +268,16 @@ def read_json(js: Column, reader: str) -> Column:
     return json_column(js, *READERS[reader])
 
 
+def read_json_struct(js: Column, readers: tuple[str, ...]) -> Column:
+    """A struct of what several readers find, null for null and malformed JSON.
+
+    Each JSON is parsed once, in one Python worker: functions of their own would take a worker each in every task.
+    """
+    read = {n: READERS[n][0] for n in readers}
+    kind = ",".join(f"`{n}`:{READERS[n][1]}" for n in readers)
+    return json_column(js, lambda v: {n: f(v) for n, f in read.items()}, f"struct<{kind}>")
+
+
 def merge_sections(df: DataFrame, keys: list[str], batch: str, content: str) -> DataFrame:
     """keys, content: the merged JSON of each section's batches, in order. A section's batches are a few pages each."""
 

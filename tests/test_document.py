@@ -47,3 +47,17 @@ def test_combine(spark):
     sections = spark.createDataFrame([("d", 5, "B", "t", "", "c2"), ("d", 1, "A", "t", "Head", "c1")], "document_id string, start_page int, section_name string, section_type string, heading string, content string")
     r = document.combine(sections, spark.createDataFrame([("d", "vendor", "V")], "document_id string, field string, value string")).first()
     assert r["section_names"] == ["A", "B"] and [s["heading"] for s in r["sections"]] == ["Head", "B"] and r["header"] == {"vendor": "V"}
+
+
+def test_json_readers_share_a_worker(spark):
+    from quillmill.queries import QUERIES
+
+    plan = QUERIES["q_json_readers"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython [") == 1  # a node, and so a worker, for each reader before
+    names = ("all_text", "clause_text", "mostly_empty", "field_counts")
+    texts = ['{"a": " x ", "_b": "y", "c": []}', "{", None, '["7", "long %s"]' % ("é" * content.CHUNK), '"z"', "[1"]
+    js = spark.createDataFrame(list(enumerate(texts)), "i int, js string").coalesce(1).orderBy("i")
+    got = js.select(content.read_json_struct(F.col("js"), names).alias("r"), *[content.read_json(F.col("js"), n).alias(n) for n in names]).collect()
+    assert [r["r"] is None for r in got] == [False, True, True, False, False, True]
+    assert all([r["r"] and r["r"][n] for n in names] == [r[n] for n in names] for r in got)
+    assert got[0]["r"]["all_text"] == "x" and tuple(got[0]["field_counts"]) == (3, 1) and got[3]["r"]["clause_text"] == texts[3][7:-2]
