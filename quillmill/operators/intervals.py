@@ -133,10 +133,10 @@ CLAUSE_MARKERS = (
 
 
 def clause_context(lines: DataFrame, group: list[str], order: str, text: str, before: int = 30, after: int = 49) -> DataFrame:
-    """The lines around those that speak of price adjustment or mark a formula; blank lines do not count."""
+    """The lines around those that speak of price adjustment or mark a formula; lines of nothing but spaces (of any width, no-break ones too) do not count."""
     from quillmill.functions.text import ESCALATION_KEYWORDS, contains_any
 
     hit = contains_any(F.col(text), ESCALATION_KEYWORDS)
     for marker in CLAUSE_MARKERS:
         hit = hit | F.contains(text, F.lit(marker))
-    return context_window(lines.filter(F.trim(text) != ""), group, order, hit, before, after)
+    return context_window(lines.filter(F.col(text).rlike(r"[^\p{Zs}]")), group, order, hit, before, after)
